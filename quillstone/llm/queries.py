@@ -6,9 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quillstone.llm import addresses, names
+from quillstone.sources.catalog import Catalog
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _on(table: str, f: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, root: f(Catalog(spark, root).table(table))
+
+
+def queries() -> dict[str, Query]:
+    return {
+        "p1_found": _on("products", names.found),
+        "p1_clusters": _on("products", names.clusters),
+        "p6_found": _on("products", addresses.found),
+        "p6_clusters": _on("products", addresses.clusters),
+    }
 
 
 def oracle_sql() -> dict[str, str]:
