@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.llm import addresses, names
+from quillstone.llm import addresses, linkage, names
 from quillstone.sources.catalog import Catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,20 @@ def _on(table: str, f: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, root: f(Catalog(spark, root).table(table))
 
 
+def _linkage(f: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        tables = Catalog(spark, root)
+        return f(tables.table("market_listings"), tables.table("products"), tables.table("regulatory_geography"))
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": _on("products", names.found),
         "p1_clusters": _on("products", names.clusters),
+        "p5_found": _linkage(linkage.found),
+        "p5_confidence": _linkage(linkage.linked),
         "p6_found": _on("products", addresses.found),
         "p6_clusters": _on("products", addresses.clusters),
     }
