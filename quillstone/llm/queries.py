@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.llm import addresses, linkage, names
+from quillstone.llm import addresses, linkage, names, scans
 from quillstone.sources.catalog import Catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,10 +24,16 @@ def _linkage(f: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> Query
     return run
 
 
+def _scans(f: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, root: f(Catalog(spark, root).table("products"), Catalog(spark, root).table("product_chunks"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": _on("products", names.found),
         "p1_clusters": _on("products", names.clusters),
+        "p2_found": _scans(scans.found),
+        "p2_clean_text": _scans(scans.cleaned),
         "p5_found": _linkage(linkage.found),
         "p5_confidence": _linkage(linkage.linked),
         "p6_found": _on("products", addresses.found),
