@@ -52,11 +52,22 @@ PAGE = re.compile(rf"^\s*(?:\S{{4}} {_PAGE_NO}|\S{{4}} {_PAGE_NO} \S{{2}} {_PAGE
 BARE = re.compile(r"^\s*\d{1,4}\s*$")
 _AMOUNT = r"[\dOlISB|][\dOlISB|.,]*\s?(?:mg|mcg|microgram|g|IU|mmol|mL|%|m9|rng|micr0gram)"
 TITLE = re.compile(rf"^\f?\s*[^\W\d_][^\s.;:]*(?:\s[^\s.;:]+){{0,3}}?\s?{_AMOUNT}(?:\s?/\s?{_AMOUNT})*(?:\s\|\s\S+|\s{{2,}}\S+)?\s*$", re.I)
+_AMOUNT_IN = re.compile(r"[\dOlISB|]\s?(?:mg|mcg|microgram|iu|mmol|g\b|ml|%|m9|rng|micr0gram)", re.I)
 _OUTER = re.compile(r"^[^\w@|$!%]+|[^\w@|$!%]+$")
 _SIGNS = re.compile(r"[@|$!\dﬁﬂ]")
 _LETTERS = re.compile(r"^[a-z]+$")
 
 
+def page_line(line: str) -> bool:
+    """A line that holds only a page's number."""
+    return len(line) <= 24 and PAGE.match(line) is not None
+
+
+def title_line(line: str) -> bool:
+    """A line that starts a page: after a form feed, or a medicine's name and strength with nothing else."""
+    return line[:1] == "\f" or len(line) < 110 and line[-1:] not in ".,;:" and _AMOUNT_IN.search(line) is not None and TITLE.match(line) is not None
+
+
 def core(token: str) -> str:
     """A token without outer punctuation, in lower case."""
     return _OUTER.sub("", token).lower()
@@ -74,6 +85,14 @@ def fold_line(line: str) -> str:
     return re.sub(r"\d", "9", s)
 
 
+#: Chunks of a product that are read by one task, in order; a product with very many is spread over tasks.
+SEGMENT = 64
+
+
+def segment(chunk_index: int | None) -> int:
+    return -1 if chunk_index is None else chunk_index // SEGMENT
+
+
 PASS = T.StructType(
     [
         T.StructField("what", T.StringType()),
@@ -110,63 +129,54 @@ def _sketch(counts: Counter) -> list[Counter]:
     return shards
 
 
-def texts(products: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(field, row_key, product_id, text, before, after): every text with its neighbours' in the product, where it has any.
-
-    Neighbouring chunks are found by an equi-join on (product, index), so a product with very many chunks is spread over
-    tasks. Of a chunk delivered twice each row is kept; as a neighbour one of them serves.
-    """
-    docs = products.where(F.col("document_text").isNotNull()).select(
-        F.lit("document_text").alias("field"), F.col("id").cast("string").alias("row_key"), F.col("id").cast("string").alias("product_id"), F.col("document_text").alias("text"),
-        F.lit(None).cast("string").alias("before"), F.lit(None).cast("string").alias("after"),
-    )
-    own = chunks.where(F.col("chunk_text").isNotNull()).select(
-        F.lit("chunk_text").alias("field"), F.col("id").cast("string").alias("row_key"), F.col("product_id").cast("string").alias("product_id"), F.col("chunk_text").alias("text"), F.col("chunk_index").alias("ci")
-    )
-    one = own.groupBy("product_id", "ci").agg(F.max("text").alias("t"))
-    near = one.select("product_id", F.explode(F.array(F.struct((F.col("ci") + 1).alias("ci"), F.col("t").alias("b"), F.lit(None).cast("string").alias("a")), F.struct((F.col("ci") - 1).alias("ci"), F.lit(None).cast("string").alias("b"), F.col("t").alias("a")))).alias("x"))
-    near = near.groupBy("product_id", "x.ci").agg(F.max("x.b").alias("before"), F.max("x.a").alias("after"))
-    placed = own.join(near, ["product_id", "ci"], "left").select("field", "row_key", "product_id", "text", "before", "after")
-    return docs.unionByName(placed)
-
-
 def learn(products: DataFrame, chunks: DataFrame) -> DataFrame:
     """Pass one over all texts: partial sketches of words and pairs, candidates of furniture, and each product's page style."""
-    docs = products.where(F.col("document_text").isNotNull()).select(F.col("id").cast("string"), F.col("document_text").alias("text"))
-    own = chunks.where(F.col("chunk_text").isNotNull()).select(F.col("product_id").cast("string"), F.col("chunk_text").alias("text"))
+    docs = products.where(F.col("document_text").isNotNull()).select(F.lit(None).cast("string"), F.lit(None).cast("long"), F.col("document_text").alias("text"))
+    own = chunks.where(F.col("chunk_text").isNotNull()).select(F.col("product_id").cast("string").alias("id"), F.col("chunk_index").cast("long").alias("ci"), F.col("chunk_text").alias("text"))
 
     def rows(source: Iterator[tuple]) -> Iterator[tuple]:
         words: Counter = Counter()
         pairs: Counter = Counter()
         line_all: Counter = Counter()
         line_beside: Counter = Counter()
-        style: dict[str, list] = {}
+        style: dict[tuple, list] = {}
         marked = 0
-        for product, text in source:
+        for product, ci, text in source:
             lines = text.split("\n")
-            furniture = [len(x) < 120 and (bool(PAGE.match(x)) or x.startswith("\f") or bool(TITLE.match(x))) for x in lines]
-            any_mark = any(furniture)
+            page = [page_line(x) for x in lines]
+            furniture = [p or title_line(x) for x, p in zip(lines, page)]
+            any_mark = True in furniture
             marked += any_mark
-            s = style.setdefault(product, [0, 0])
-            s[0] |= any_mark
-            s[1] |= any_mark and any(PAGE.match(x) for x, f in zip(lines, furniture) if f)
-            for i, x in enumerate(lines):
-                if 8 <= len(x) <= 80 and not furniture[i] and x[-1] not in ".,;":
-                    k = fold_line(x)
-                    line_all[k] += 1
-                    line_beside[k] += i > 0 and (furniture[i - 1] or bool(BARE.match(lines[i - 1]))) or i + 1 < len(lines) and (furniture[i + 1] or bool(BARE.match(lines[i + 1])))
-            tokens = [t for x, f in zip(lines, furniture) if not f for t in x.split()]
+            if product is not None:
+                s = style.setdefault((product, segment(ci)), [0, 0])
+                s[0] |= any_mark
+                s[1] |= any_mark and True in page
+            line_all.update(lines)
+            if any_mark:
+                for i, f in enumerate(furniture):
+                    if f:
+                        for x in lines[i - 1 : i] + lines[i + 1 : i + 2] if i else lines[1:2]:
+                            if 8 <= len(x) <= 80 and x[-1] not in ".,;":
+                                line_beside[x] += 1
+                tokens = [t for x, f in zip(lines, furniture) if not f for t in x.split()]
+            else:
+                tokens = text.split()
             words.update(tokens)
             pairs.update(zip(tokens, tokens[1:]))
             if len(pairs) > 3_000_000:
                 yield from flush(words, pairs)
                 words, pairs = Counter(), Counter()
         yield from flush(words, pairs)
-        for k, n in line_beside.items():
-            if n:
-                yield "line", k, None, line_all[k], n, None
-        for product, (scanned, strong) in style.items():
-            yield "style", product, None, scanned, strong, None
+        folded: dict[str, list[int]] = {}
+        for x, n in line_beside.items():
+            if not title_line(x) and not page_line(x):
+                k = folded.setdefault(fold_line(x), [0, 0])
+                k[0] += line_all[x]
+                k[1] += n
+        for k, (n, m) in folded.items():
+            yield "line", k, None, n, m, None
+        for (product, seg), (scanned, strong) in style.items():
+            yield "style", product, seg, scanned, strong, None
         yield "texts", "", None, marked, 0, None
 
     def flush(words: Counter, pairs: Counter) -> Iterator[tuple]:
@@ -185,7 +195,7 @@ def learn(products: DataFrame, chunks: DataFrame) -> DataFrame:
                 if part:
                     yield what, "", shard, 0, 0, _pack(part)
 
-    return cut(map_rows(docs.unionByName(own.toDF("id", "text")), PASS, rows, batch=2_000))
+    return cut(map_rows(own.unionByName(docs.toDF("id", "ci", "text")), PASS, rows, batch=2_000))
 
 
 class Model:
@@ -193,14 +203,11 @@ class Model:
 
     def __init__(self, words: np.ndarray, pairs: np.ndarray, total: int, furniture: frozenset[str]):
         self.words, self.pairs, self.total, self.furniture = words, pairs, max(total, 1), furniture
+        self.shortest, self.longest = min(map(len, furniture), default=0), max(map(len, furniture), default=-9)
         self._n: dict[str, int] = {}
 
-    def __getstate__(self):
-        return self.words, self.pairs, self.total, self.furniture
-
-    def __setstate__(self, state):
-        self.words, self.pairs, self.total, self.furniture = state
-        self._n = {}
+    def __reduce__(self):
+        return Model, (self.words, self.pairs, self.total, self.furniture)
 
     @classmethod
     def gather(cls, learned: DataFrame) -> "Model":
@@ -245,13 +252,14 @@ class Reader:
     def __init__(self, model: Model):
         self.m = model
         self._words: dict[str, tuple] = {}
+        self._look: dict[str, bool] = {}
 
     # ---- page furniture
 
     def is_furniture(self, line: str) -> bool:
-        if line.startswith("\f") or TITLE.match(line):
+        if title_line(line):
             return True
-        if not 6 <= len(line) <= 90:
+        if not self.m.shortest - 2 <= len(line) - line.count(" ") <= self.m.longest + 2 or line[-1] in ",;":
             return False
         k = fold_line(line)
         if k in self.m.furniture:
@@ -266,9 +274,9 @@ class Reader:
         for x in lines:
             if not x.strip():
                 out.append(" ")
-            elif len(x) < 120 and PAGE.match(x):
+            elif page_line(x):
                 out.append("page_number")
-            elif len(x) < 120 and self.is_furniture(x):
+            elif len(x) < 110 and self.is_furniture(x):
                 out.append("header")
             else:
                 out.append("?" if BARE.match(x) else "")
@@ -290,7 +298,7 @@ class Reader:
         return ["" if k == "table" else k for k in out]
 
     def _is_footer(self, line: str) -> bool:
-        return not TITLE.match(line) and not line.startswith("\f")
+        return not title_line(line)
 
     @staticmethod
     def _table_before(lines: list[str], out: list[str], j: int) -> bool:
@@ -349,6 +357,14 @@ class Reader:
         self._words[token] = n, options
         return n, options
 
+    def _worth(self, token: str) -> bool:
+        """Whether a token is rare or has candidates, so that its line must be decoded."""
+        n, options = self.known(token)
+        if len(self._look) > 1_000_000:
+            self._look.clear()
+        self._look[token] = found = bool(options) or n < self.m.total * 3e-5
+        return found
+
     def _likelihood(self, before: str, word: str) -> float:
         """log P(word | before): bigram interpolated with unigram."""
         one = (self.m.n(word.split(" ")[0]) + 0.01) / self.m.total
@@ -363,6 +379,9 @@ class Reader:
 
         A pair of tokens may also be one word with a wrong gap. Viterbi over the candidates of each place.
         """
+        look = self._look
+        if not any([look[t] if t in look else self._worth(t) for t in tokens]):
+            return None
         states: list[list[tuple[str, float]]] = []
         open_places = False
         infos = [self.known(t) for t in tokens]
@@ -480,53 +499,127 @@ FOUND = T.StructType(
 )
 
 
-def _context(text: str, before: str | None, after: str | None) -> tuple[list[str], int, int]:
+def _context(own: list[str], before: str | None, after: str | None) -> tuple[list[str], int, int]:
     """A chunk's lines with those of its neighbours around them: a chunk repeats the last line of the one before."""
-    own = text.split("\n")
-    lines, first = list(own), 0
+    lines, first = own, 0
     if before:
         b = before.split("\n")
-        if b and own and b[-1] == own[0]:
-            b = b[:-1]
+        if b[-1] == own[0]:
+            b.pop()
         lines, first = b + lines, len(b)
     if after:
         a = after.split("\n")
-        if a and own and a[0] == own[-1]:
-            a = a[1:]
-        lines = lines + a
+        lines = lines + (a[1:] if a[0] == own[-1] else a)
     return lines, first, first + len(own)
 
 
-def _scanned(products: DataFrame, chunks: DataFrame) -> tuple[DataFrame, object]:
-    """(texts of scanned products with their page style, the broadcast model)."""
-    learned = learn(products, chunks)
-    model = products.sparkSession.sparkContext.broadcast(Model.gather(learned))
-    style = learned.where("what = 'style'").groupBy(F.col("key").alias("product_id")).agg(F.max("n").alias("scanned"), F.max("m").alias("strong"))
-    return texts(products, chunks).join(style.where("scanned > 0").select("product_id", "strong"), "product_id"), model
+STREAM = T.StructType(
+    [T.StructField("product_id", T.StringType()), T.StructField("seg", T.LongType()), T.StructField("ci", T.LongType()), T.StructField("row_key", T.StringType()), T.StructField("text", T.StringType()), T.StructField("strong", T.LongType())]
+)
+
+
+def chunk_stream(chunks: DataFrame, learned: DataFrame) -> DataFrame:
+    """The chunks of scanned and other products in reading order, each segment led by a row with the product's page style.
+
+    One shuffle, on (product, segment of SEGMENT chunks); the chunks at a segment's ends go to both segments, so that
+    each finds its neighbours. Tasks stream, whatever a product's number of chunks.
+    """
+    style = learned.where("what = 'style'")
+    of = style.groupBy("key").agg(F.max("n").alias("scanned"), F.max("m").alias("strong"))
+    lead = style.select("key", F.col("shard").cast("long").alias("seg")).distinct().join(of.where("scanned > 0"), "key")
+    lead = lead.select(F.col("key").alias("product_id"), "seg", F.lit(None).cast("long").alias("ci"), F.lit(None).cast("string").alias("row_key"), F.lit(None).cast("string").alias("text"), F.col("strong").cast("long").alias("strong"))
+    ci = F.col("chunk_index").cast("long")
+    seg = F.floor(ci / SEGMENT)
+    segs = F.when(ci.isNull(), F.array(F.lit(-1).cast("long"))).when((ci % SEGMENT == 0) & (ci > 0), F.array(seg, seg - 1)).when(ci % SEGMENT == SEGMENT - 1, F.array(seg, seg + 1)).otherwise(F.array(seg))
+    rows = chunks.where(F.col("chunk_text").isNotNull()).select(
+        F.col("product_id").cast("string").alias("product_id"), F.explode(segs.cast("array<bigint>")).alias("seg"), F.coalesce(ci, F.lit(-9).cast("long")).alias("ci"), F.col("id").cast("string").alias("row_key"), F.col("chunk_text").alias("text"), F.lit(None).cast("long").alias("strong")
+    )
+    return lead.unionByName(rows).repartition("product_id", "seg").sortWithinPartitions("product_id", "seg", F.col("ci").asc_nulls_first(), "row_key")
+
+
+def _read_stream(source: Iterator[tuple], reader: Reader) -> Iterator[tuple[str, list[str], list]]:
+    """(row_key, lines, read lines) of the scanned chunks of a stream, with two neighbouring positions held at a time."""
+
+    def emit(prev, now, after):
+        at, seg, strong, held = now
+        if at >= 0 and at // SEGMENT != seg:
+            return
+        before = prev[3][0][1] if prev and prev[0] == at - 1 and prev[1] == seg else None
+        nxt = after[3][0][1] if after and after[0] == at + 1 and after[1] == seg else None
+        for key, text in held:
+            own = text.split("\n")
+            lines, first, last = _context(own, before, nxt)
+            yield key, own, [(i - first, *rest) for i, *rest in reader.read(lines, strong, first, last)]
+
+    where, scanned, strong = None, False, False
+    prev = now = None
+    for product, seg, ci, key, text, style in source:
+        if (product, seg) != where:
+            if now:
+                yield from emit(prev, now, None)
+            where, scanned, prev, now = (product, seg), False, None, None
+        if text is None:
+            scanned, strong = True, bool(style)
+            continue
+        if not scanned:
+            continue
+        if now and now[0] == ci and ci >= 0:
+            now[3].append((key, text))
+            continue
+        fresh = (ci, seg, strong, [(key, text)])
+        if now:
+            yield from emit(prev, now, fresh)
+        prev, now = now, fresh
+    if now:
+        yield from emit(prev, now, None)
+
+
+def _own_style(lines: list[str]) -> tuple[bool, bool]:
+    """(scanned, numbered by page lines) of a whole text."""
+    page = [page_line(x) for x in lines]
+    return True in page or any(map(title_line, lines)), True in page
 
 
 def damaged_lines(products: DataFrame, chunks: DataFrame) -> DataFrame:
     """(field, row_key, line_no, kind): the damaged lines of every text; texts without page furniture were not scanned.
 
-    Null and empty texts have no row; of rows delivered twice each line is reported once.
+    Whole documents are read in place, without a shuffle; chunks in the order of their product. Null and empty texts
+    have no row; of rows delivered twice each line is reported once.
     """
-    scanned, model = _scanned(products, chunks)
+    learned = learn(products, chunks)
+    model = products.sparkSession.sparkContext.broadcast(Model.gather(learned))
 
-    def rows(source):
+    def kinds(read) -> Iterator[tuple[int, str]]:
+        for i, kind, decoded, cut_word in read:
+            if kind.strip():
+                yield i + 1, kind
+            elif not kind:
+                if cut_word:
+                    yield i + 1, "hyphen"
+                if decoded is not None:
+                    yield i + 1, "misread"
+
+    def of_documents(source):
         reader = Reader(model.value)
-        for field, key, text, before, after, strong in source:
-            lines, first, last = _context(text, before, after)
-            for i, kind, decoded, cut_word in reader.read(lines, bool(strong), first, last):
-                no = i - first + 1
-                if kind.strip():
-                    yield field, key, no, kind
-                else:
-                    if cut_word:
-                        yield field, key, no, "hyphen"
-                    if decoded is not None:
-                        yield field, key, no, "misread"
+        for key, text in source:
+            lines = text.split("\n")
+            scanned, strong = _own_style(lines)
+            if scanned:
+                for no, kind in kinds(reader.read(lines, strong, 0, len(lines))):
+                    yield "document_text", key, no, kind
 
-    return map_rows(scanned.select("field", "row_key", "text", "before", "after", "strong"), FOUND, rows).distinct()
+    def of_chunks(source):
+        last, seen = None, set()
+        for key, _, read in _read_stream(source, Reader(model.value)):
+            if key != last:
+                last, seen = key, set()
+            for case in kinds(read):
+                if case not in seen:
+                    seen.add(case)
+                    yield "chunk_text", key, *case
+
+    docs = products.where(F.col("document_text").isNotNull()).select(F.col("id").cast("string"), "document_text")
+    return map_rows(docs, FOUND, of_documents).unionByName(map_rows(chunk_stream(chunks, learned), FOUND, of_chunks))
 
 
 def found(products: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -545,12 +638,12 @@ def respell(token: str, word: str) -> str:
     return head + word + tail
 
 
-def paragraphs(reader: Reader, lines: list[str], strong: bool) -> str:
+def paragraphs(lines: list[str], read) -> str:
     """A scanned text as whole paragraphs: furniture left out, broken words joined, misreadings corrected."""
     done: list[str] = []
     now = ""
     glue = " "
-    for i, kind, decoded, cut_word in reader.read(lines, strong, 0, len(lines)):
+    for i, kind, decoded, cut_word in read:
         if kind == " ":
             if now and not now.endswith((",", "-")) and glue:
                 done.append(now)
@@ -595,11 +688,23 @@ def _realign(tokens: list[str], decoded: list[str]) -> list[str]:
 
 def cleaned(products: DataFrame, chunks: DataFrame) -> DataFrame:
     """(field, row_key, clean_text): every scanned text repaired into paragraphs, one row a text."""
-    scanned, model = _scanned(products, chunks)
+    learned = learn(products, chunks)
+    model = products.sparkSession.sparkContext.broadcast(Model.gather(learned))
 
-    def rows(source):
+    def of_documents(source):
         reader = Reader(model.value)
-        for field, key, text, strong in source:
-            yield field, key, paragraphs(reader, text.split("\n"), bool(strong))
-
-    return map_rows(scanned.select("field", "row_key", "text", "strong"), CLEAN, rows, batch=2_000)
+        for key, text in source:
+            lines = text.split("\n")
+            scanned, strong = _own_style(lines)
+            if scanned:
+                yield "document_text", key, paragraphs(lines, reader.read(lines, strong, 0, len(lines)))
+
+    def of_chunks(source):
+        last = None
+        for key, lines, read in _read_stream(source, Reader(model.value)):
+            if key != last:
+                last = key
+                yield "chunk_text", key, paragraphs(lines, read)
+
+    docs = products.where(F.col("document_text").isNotNull()).select(F.col("id").cast("string"), "document_text")
+    return map_rows(docs, CLEAN, of_documents, batch=2_000).unionByName(map_rows(chunk_stream(chunks, learned), CLEAN, of_chunks, batch=2_000))
