@@ -29,6 +29,8 @@ FIT_DOCUMENTS = 4_000
 CANDIDATE = 0.4
 #: Share of an item's words that one run must cover.
 SHARE = 0.5
+#: Share of a run's words that must be the item's: only single words may be altered.
+MATCHED = 0.85
 #: Items searched at once.
 ITEM_BLOCK = 4_096
 SEED = 11
@@ -318,7 +320,7 @@ def _batch(held, known: Items, table: np.ndarray, squares: np.ndarray, candidate
             i0, i1, j0, j1, matched = longest_run(target, words[lo:hi])
             if found is None or i1 - i0 > found[0]:
                 found = i1 - i0, lo + j0, lo + j1, matched
-        if found and found[0] >= math.ceil(share * n) and found[3] >= 0.75 * found[0]:
+        if found and found[0] >= math.ceil(share * n) and found[3] >= MATCHED * found[0]:
             after = words[found[2] : found[2] + 4]
             yield doc, known.ids[item], found[0] / n, max(places.values()), found[1], bool(known.answers[item]) and known.answers[item].lower() in after
 

@@ -53,6 +53,7 @@ BARE = re.compile(r"^\s*\d{1,4}\s*$")
 _AMOUNT = r"[\dOlISB|][\dOlISB|.,]*\s?(?:mg|mcg|microgram|g|IU|mmol|mL|%|m9|rng|micr0gram)"
 TITLE = re.compile(rf"^\f?\s*[^\W\d_][^\s.;:]*(?:\s[^\s.;:]+){{0,3}}?\s?{_AMOUNT}(?:\s?/\s?{_AMOUNT})*(?:\s\|\s\S+|\s{{2,}}\S+)?\s*$", re.I)
 _AMOUNT_IN = re.compile(r"[\dOlISB|]\s?(?:mg|mcg|microgram|iu|mmol|g\b|ml|%|m9|rng|micr0gram)", re.I)
+_DIGIT = re.compile(r"[0-9]")
 _OUTER = re.compile(r"^[^\w@|$!%]+|[^\w@|$!%]+$")
 _SIGNS = re.compile(r"[@|$!\dﬁﬂ]")
 _LETTERS = re.compile(r"^[a-z]+$")
@@ -65,7 +66,7 @@ def page_line(line: str) -> bool:
 
 def title_line(line: str) -> bool:
     """A line that starts a page: after a form feed, or a medicine's name and strength with nothing else."""
-    return line[:1] == "\f" or len(line) < 110 and line[-1:] not in ".,;:" and _AMOUNT_IN.search(line) is not None and TITLE.match(line) is not None
+    return line[:1] == "\f" or len(line) < 110 and line[-1:] not in ".,;:" and _DIGIT.search(line) is not None and _AMOUNT_IN.search(line) is not None and TITLE.match(line) is not None
 
 
 def core(token: str) -> str:
@@ -538,40 +539,55 @@ def chunk_stream(chunks: DataFrame, learned: DataFrame) -> DataFrame:
 
 
 def _read_stream(source: Iterator[tuple], reader: Reader) -> Iterator[tuple[str, list[str], list]]:
-    """(row_key, lines, read lines) of the scanned chunks of a stream, with two neighbouring positions held at a time."""
-
-    def emit(prev, now, after):
-        at, seg, strong, held = now
-        if at >= 0 and at // SEGMENT != seg:
-            return
-        before = prev[3][0][1] if prev and prev[0] == at - 1 and prev[1] == seg else None
-        nxt = after[3][0][1] if after and after[0] == at + 1 and after[1] == seg else None
-        for key, text in held:
-            own = text.split("\n")
-            lines, first, last = _context(own, before, nxt)
-            yield key, own, [(i - first, *rest) for i, *rest in reader.read(lines, strong, first, last)]
-
-    where, scanned, strong = None, False, False
-    prev = now = None
+    """(row_key, lines, read lines) of the scanned chunks of a stream, a segment (SEGMENT chunks and one to either side) at a time."""
+    where, strong, held = None, None, []
     for product, seg, ci, key, text, style in source:
         if (product, seg) != where:
-            if now:
-                yield from emit(prev, now, None)
-            where, scanned, prev, now = (product, seg), False, None, None
+            if held:
+                yield from _read_segment(held, where[1], bool(strong), reader)
+            where, strong, held = (product, seg), None, []
         if text is None:
-            scanned, strong = True, bool(style)
-            continue
-        if not scanned:
-            continue
-        if now and now[0] == ci and ci >= 0:
-            now[3].append((key, text))
-            continue
-        fresh = (ci, seg, strong, [(key, text)])
-        if now:
-            yield from emit(prev, now, fresh)
-        prev, now = now, fresh
-    if now:
-        yield from emit(prev, now, None)
+            strong = style
+        elif strong is not None:
+            if held and held[-1][0] == ci and ci >= 0:
+                held[-1][1].append((key, text))
+            else:
+                held.append((ci, [(key, text)]))
+    if held:
+        yield from _read_segment(held, where[1], bool(strong), reader)
+
+
+def _read_segment(held: list[tuple[int, list[tuple[str, str]]]], seg: int, strong: bool, reader: Reader) -> Iterator[tuple[str, list[str], list]]:
+    """Chunks that follow each other are read as the one text they were cut from, the repeated lines once."""
+    runs: list[list] = []
+    for ci, rows in held:
+        if runs and ci >= 0 and runs[-1][-1][0] == ci - 1:
+            runs[-1].append((ci, rows))
+        else:
+            runs.append([(ci, rows)])
+    for run in runs:
+        lines: list[str] = []
+        places = []
+        for ci, rows in run:
+            own = rows[0][1].split("\n")
+            first = len(lines)
+            if lines and lines[-1] == own[0]:
+                first -= 1
+                lines += own[1:]
+            else:
+                lines += own
+            places.append((ci, rows, own, first))
+        read = {i: (i, *rest) for i, *rest in reader.read(lines, strong, 0, len(lines))}
+        for k, (ci, rows, own, first) in enumerate(places):
+            if ci >= 0 and ci // SEGMENT != seg:
+                continue
+            for key, text in rows:
+                if text == rows[0][1]:
+                    yield key, own, [(i, *read[first + i][1:]) for i in range(len(own))]
+                else:  # the same chunk delivered with another text
+                    mine = text.split("\n")
+                    all_lines, lo, hi = _context(mine, run[k - 1][1][0][1] if k else None, run[k + 1][1][0][1] if k + 1 < len(run) else None)
+                    yield key, mine, [(i - lo, *rest) for i, *rest in reader.read(all_lines, strong, lo, hi)]
 
 
 def _own_style(lines: list[str]) -> tuple[bool, bool]:
