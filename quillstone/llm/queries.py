@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.llm import addresses, linkage, names, scans
+from quillstone.llm import addresses, leakage, linkage, mixing, names, scans, splitting
 from quillstone.sources.catalog import Catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def _linkage(f: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> Query
     return run
 
 
+def _documents(f: Callable[[DataFrame, DataFrame], DataFrame], other: str) -> Query:
+    return lambda spark, root: f(Catalog(spark, root).table("documents"), Catalog(spark, root).table(other))
+
+
 def _scans(f: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return lambda spark, root: f(Catalog(spark, root).table("products"), Catalog(spark, root).table("product_chunks"))
 
@@ -38,6 +42,11 @@ def queries() -> dict[str, Query]:
         "p5_confidence": _linkage(linkage.linked),
         "p6_found": _on("products", addresses.found),
         "p6_clusters": _on("products", addresses.clusters),
+        "p8_found": _documents(leakage.found, "eval_items"),
+        "p8_leaks": _documents(leakage.leaks, "eval_items"),
+        "p9_mixture": _documents(mixing.mixture, "mix_targets"),
+        "p9_shares": _documents(mixing.shares, "mix_targets"),
+        "p10_pieces": _documents(splitting.pieces, "split_limits"),
     }
 
 
