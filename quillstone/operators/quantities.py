@@ -126,7 +126,7 @@ def number(text: Column) -> Column:
     plain = F.trim(text)
     thousands = plain.rlike(r"^[1-9][0-9]{0,2}(,[0-9]{3})+(\.[0-9]+)?$")
     clean = F.when(thousands, F.regexp_replace(plain, ",", "")).otherwise(F.regexp_replace(plain, ",", "."))
-    return F.expr("try_cast(__x AS DECIMAL(38,12))") if False else clean.try_cast("decimal(38,12)")
+    return clean.try_cast("decimal(38,12)")
 
 
 def _lookup(part: int) -> Column:
