@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules that each offer queries() and may offer oracle_sql().
-MODULES = ("quillstone.plans.general_queries",)
+MODULES = ("quillstone.plans.reference_queries", "quillstone.plans.general_queries")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
