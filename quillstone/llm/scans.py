@@ -33,6 +33,8 @@ RATIO = 12.0
 MISREAD, SIGN_DISCOUNT = 1.0 / 30.0, 0.02
 #: Absolute discount of word and pair counts: a slip and its few copies must not vouch for themselves.
 DISCOUNT = 4
+#: Words counted less often than this are looked at in a corpus of any size.
+LEAST = 20
 #: A line is page furniture when it is in this share of the scanned texts and mostly beside other furniture.
 FURNITURE_SHARE, FURNITURE_BESIDE = 0.004, 0.35
 
@@ -186,6 +188,8 @@ def learn(products: DataFrame, chunks: DataFrame) -> DataFrame:
         for t, n in words.items():
             if t[-1] not in MARKS and cores[t]:
                 folded[cores[t]] += n
+                if "-" in cores[t]:  # the first part of a word that keeps its mark
+                    folded[cores[t].partition("-")[0] + "-"] += n
         both: Counter = Counter()
         for (a, b), n in pairs.items():
             if a[-1] not in ".;:" + MARKS and cores[a] and cores[b]:
@@ -331,7 +335,7 @@ class Reader:
             return got
         word = core(token)
         n, options = float(self.m.n(word)) if word else 0.0, []
-        if word and n < self.m.total * 2e-4:
+        if word and n < max(self.m.total * 2e-4, LEAST):
             mixed = bool(_SIGNS.search(word)) and bool(re.search(r"[a-z]", word))
             numeral = re.sub(r"\W", "", _OUTER.sub("", token).replace("|", "l"))
             if mixed and re.search(r"\d", word) and len(numeral) <= 5 and all(c.isdigit() or c in DIGITS for c in numeral):
@@ -348,7 +352,7 @@ class Reader:
                         continue
                     if self.m.n(c) >= max(3.0, RATIO * n):
                         options.append((c, math.log(MISREAD), at))
-            if plain and len(word) >= 6 and not options and n < self.m.total * 1e-5:
+            if plain and len(word) >= 6 and not options and n < max(self.m.total * 1e-5, LEAST / 2):
                 for i in range(2, len(word) - 1):
                     both = self.m.n(f"{word[:i]} {word[i:]}")
                     if both >= max(5.0, RATIO * n):
@@ -363,7 +367,7 @@ class Reader:
         n, options = self.known(token)
         if len(self._look) > 1_000_000:
             self._look.clear()
-        self._look[token] = found = bool(options) or n < self.m.total * 3e-5
+        self._look[token] = found = bool(options) or n < max(self.m.total * 3e-5, LEAST)
         return found
 
     def _likelihood(self, before: str, word: str) -> float:
@@ -375,8 +379,8 @@ class Reader:
         pair = max(self.m.n(f"{before} {word.split(' ')[0]}") - DISCOUNT, 0)
         return math.log(0.6 * (pair / left if left else 0.0) + 0.4 * one)
 
-    def decode(self, tokens: list[str]) -> list[str] | None:
-        """The most likely words for the tokens of a line; None when that is the line as it stands.
+    def decode(self, tokens: list[str]) -> list[tuple[str, int]] | None:
+        """The most likely (word, number of tokens it stands for) of a line; None when that is the line as it stands.
 
         A pair of tokens may also be one word with a wrong gap. Viterbi over the candidates of each place.
         """
@@ -393,7 +397,7 @@ class Reader:
                 here = [(core(t), math.log((n + 0.02) / (self.m.n(core(t)) + 0.01)))] + [(c, p) for c, p, _ in options]
             states.append(here)
         joins: dict[int, str] = {}
-        rare = self.m.total * 3e-5
+        rare = max(self.m.total * 3e-5, LEAST)
         for i in range(len(tokens) - 1):
             a, b = tokens[i], tokens[i + 1]
             if (infos[i][0] < rare or infos[i + 1][0] < rare) and a[-1:].isalpha() and b[:1].isalpha() and b[:1].islower():
@@ -403,24 +407,24 @@ class Reader:
                     joins[i] = x + y
         if not open_places and not joins:
             return None
-        # best[i]: (score, previous word, path) at token i, kept for each candidate
-        layers: list[dict[str, tuple[float, list[str]]]] = [{"": (0.0, [])}]
+        # layers[i]: for each word that may end before token i, its score and the words up to it
+        layers: list[dict[str, tuple[float, list[tuple[str, int]]]]] = [{"": (0.0, [])}]
         for i, here in enumerate(states):
-            now: dict[str, tuple[float, list[str]]] = {}
+            now: dict[str, tuple[float, list[tuple[str, int]]]] = {}
             for before, (score, path) in layers[i].items():
                 for w, p in here:
                     s = score + p + self._likelihood(before.split(" ")[-1], w)
                     if w not in now or s > now[w][0]:
-                        now[w] = s, path + [w]
+                        now[w] = s, path + [(w, 1)]
             if i and i - 1 in joins:
                 w = joins[i - 1]
                 for before, (score, path) in layers[i - 1].items():
                     s = score + math.log(MISREAD) + self._likelihood(before.split(" ")[-1], w)
                     if w not in now or s > now[w][0]:
-                        now[w] = s, path + [w]
+                        now[w] = s, path + [(w, 2)]
             layers.append(now)
         best = max(layers[-1].values(), key=lambda x: x[0])[1]
-        return None if best == [core(t) for t in tokens] else best
+        return None if best == [(core(t), 1) for t in tokens] else best
 
     # ---- broken words
 
@@ -431,7 +435,7 @@ class Reader:
         x = core(left)
         x = x.rpartition("-")[2] if "-" in x else x
         if right is None:
-            return bool(x) and self.m.n(x) < self.m.total * 1e-6
+            return bool(x) and self.m.n(x) < max(self.m.total * 1e-6, 1) and not self.m.n(f"{x}-")
         y = core(right)
         y_first = y.partition("-")[0]
         joined, hyphened = self.m.n(x + y_first), max(self.m.n(f"{core(left)}-{y}"), self.m.n(f"{x}-{y_first}"), self.m.n(f"{core(left)}-{y_first}"))
@@ -446,10 +450,25 @@ class Reader:
 
     # ---- texts
 
+    def _across(self, part: str, rest: str) -> tuple[str, str] | None:
+        """The two parts of a broken word corrected, or None when the word is right as it stands."""
+        whole = core(part + rest)
+        _, options = self.known(part + rest)
+        fits = [(self.m.n(c), c, at) for c, _, at in options if " " not in c]
+        if not fits:
+            return None
+        _, word, at = max(fits)
+        k = len(core(part)) + (len(word) - len(whole) if at < len(core(part)) else 0)
+        return word[:k], word[k:]
+
     def read(self, lines: list[str], strong: bool, first: int, last: int) -> Iterator[tuple[int, str, list[str] | None, bool]]:
-        """(index, label, decoded words or None, broken) of the lines first..last-1; label is as in `labels`."""
+        """(index, label, corrected tokens or None, broken) of the lines first..last-1; label is as in `labels`.
+
+        The last token of a broken line keeps its mark. A wrong character within a broken word is charged to the line it
+        stands on.
+        """
         kinds = self.labels(lines, strong)
-        carried = ""  # the part of a broken word that the line before left
+        carried, carried_fix = "", None  # the part of a broken word that the line before left, and the right rest of it
         for i in range(len(lines)):
             if kinds[i]:
                 if first <= i < last:
@@ -458,41 +477,47 @@ class Reader:
             mine = first <= i < last
             line = lines[i].rstrip()
             tokens = line.split()
-            head, carried = carried, ""
-            mark = line[-1:] if len(line) > 1 and line[-1:] in MARKS and line[-2:-1].isalnum() or line[-1:] in MARKS and line[-2:-1] in "@|" else ""
-            cut_word, nxt = False, None
-            if mark:
+            head, head_fix = (carried, carried_fix) if tokens else ("", None)
+            carried, carried_fix = "", None
+            mark = line[-1:] if len(line) > 1 and line[-1:] in MARKS and (line[-2:-1].isalnum() or line[-2:-1] in "@|") else ""
+            cut_word, out, wrong = False, list(tokens), False
+            lo, hi = 1 if head else 0, len(tokens)
+            if head and head_fix is not None and head_fix != core(tokens[0]):
+                out[0], wrong = respell(tokens[0], head_fix), True
+            if mark and hi > lo:
                 j = i + 1
                 while j < len(lines) and kinds[j]:
                     j += 1
+                part = tokens[-1][:-1]
                 nxt = lines[j].split()[0] if j < len(lines) else None
-                cut_word = self.broken(tokens[-1][:-1], mark, nxt)
-            decoded = None
-            if mine or cut_word:
-                wrong = False
-                body = list(tokens)
-                if head and body:  # the rest of a word broken above: judged as the whole word
-                    whole = core(head + body[0])
-                    _, options = self.known(whole)
-                    wrong |= any(at >= len(core(head)) - 1 and c for c, _, at in options[:1] if " " not in c)
-                    body = body[1:]
-                if mark and body:
-                    part = body.pop()[:-1]
-                    if cut_word:
-                        carried = part
-                        if nxt:
-                            _, options = self.known(core(part + nxt))
-                            wrong |= any(at < len(core(part)) for c, _, at in options[:1] if " " not in c)
-                        elif _SIGNS.search(core(part)) and re.search(r"[a-z]", core(part)):
-                            wrong = True
-                    else:
-                        body.append(part)
-                if mine:
-                    decoded = self.decode(body) if body else None
-                    if decoded is None and wrong:
-                        decoded = [core(t) for t in body]
-            if mine:
-                yield i, "", decoded, cut_word
+                cut_word = self.broken(part, mark, nxt)
+                if cut_word:
+                    hi -= 1
+                    carried = part
+                    fixed = self._across(part, nxt) if nxt else None
+                    if fixed:
+                        carried_fix = fixed[1]
+                        if fixed[0] != core(part):
+                            out[-1], wrong = respell(part, fixed[0]) + mark, True
+                    elif nxt is None and _SIGNS.search(core(part)) and re.search(r"[a-z]", core(part)):
+                        wrong = True
+            if not mine:
+                continue
+            body = tokens[lo:hi]
+            kept = bool(mark and not cut_word and body)
+            if kept:
+                body[-1] = body[-1][:-1]
+            decoded = self.decode(body) if body else None
+            if decoded is not None:
+                shown, k = [], 0
+                for word, n in decoded:
+                    token = "".join(body[k : k + n])
+                    shown.append(token if core(token) == word and n == 1 else respell(token, word))
+                    k += n
+                if kept:
+                    shown[-1] += mark
+                out = out[:lo] + shown + out[hi:]
+            yield i, "", out if decoded is not None or wrong else None, cut_word
 
 
 FOUND = T.StructType(
@@ -657,51 +682,25 @@ def respell(token: str, word: str) -> str:
 def paragraphs(lines: list[str], read) -> str:
     """A scanned text as whole paragraphs: furniture left out, broken words joined, misreadings corrected."""
     done: list[str] = []
-    now = ""
-    glue = " "
-    for i, kind, decoded, cut_word in read:
+    now, glue = "", " "
+    for i, kind, corrected, cut_word in read:
         if kind == " ":
-            if now and not now.endswith((",", "-")) and glue:
+            if now and glue == " ":
                 done.append(now)
                 now = ""
             continue
         if kind:
             continue
-        tokens = lines[i].split()
-        shown = tokens
-        if decoded is not None and len(decoded) == len(tokens):
-            shown = [respell(t, w) if core(t) != w else t for t, w in zip(tokens, decoded)]
-        elif decoded is not None:
-            shown = _realign(tokens, decoded)
-        text = " ".join(shown)
-        now = now + glue + text if now else text
-        glue = " "
+        line = " ".join(corrected if corrected is not None else lines[i].split())
+        now = now + glue + line if now else line
+        glue = "" if now[-1:] in MARKS else " "
         if cut_word:
-            now, glue = now[:-1], ""
+            now = now[:-1]
     if now:
         done.append(now)
     return "\n\n".join(done)
 
 
-def _realign(tokens: list[str], decoded: list[str]) -> list[str]:
-    """Tokens with their decoded words where gaps were joined or the line's ends were left out of decoding."""
-    out, k = [], 0
-    i = 0
-    while i < len(tokens):
-        if k < len(decoded) and i + 1 < len(tokens) and core(tokens[i]) + core(tokens[i + 1]) == decoded[k]:
-            out.append(respell(tokens[i] + tokens[i + 1], decoded[k]))
-            i += 2
-            k += 1
-        elif k < len(decoded) and (core(tokens[i]) == decoded[k] or len(decoded) - k >= len(tokens) - i):
-            out.append(tokens[i] if core(tokens[i]) == decoded[k] else respell(tokens[i], decoded[k]))
-            i += 1
-            k += 1
-        else:
-            out.append(tokens[i])
-            i += 1
-    return out
-
-
 def cleaned(products: DataFrame, chunks: DataFrame) -> DataFrame:
     """(field, row_key, clean_text): every scanned text repaired into paragraphs, one row a text."""
     learned = learn(products, chunks)
