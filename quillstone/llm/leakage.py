@@ -8,7 +8,6 @@ longest common run of words (with single words altered) covers at least half of
 from __future__ import annotations
 
 import math
-import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -22,47 +21,51 @@ from quillstone.functions.arrowio import map_rows
 from quillstone.llm.similarity import edit_distance
 
 #: Hashed words, dimensions of the latent space, words of a block; a passage is two neighbouring blocks.
-DIMS, RANK, BLOCK = 1 << 14, 160, 24
+DIMS, RANK, BLOCK = 1 << 14, 96, 24
 #: The space is fitted on the passages of at most so many documents, chosen by a hash, and on all items; every passage is searched.
 FIT_DOCUMENTS = 4_000
 #: Latent cosine from which a passage is a candidate; its recall against brute force is measured in the tests.
 CANDIDATE = 0.4
 #: Share of an item's words that one run must cover.
 SHARE = 0.5
+#: Word pairs that a run must share with its item exactly, as a part of the words it must cover, to be aligned at all.
+SHARED_PAIRS = 0.25
 #: Share of a run's words that must be the item's: only single words may be altered.
 MATCHED = 0.85
 #: Items searched at once.
 ITEM_BLOCK = 4_096
 SEED = 11
 
-_NOT_WORD = re.compile(r"[^\w]+|_+")
+class _Signs(dict):
+    """A translation that deletes every sign that is no letter, digit or blank; filled as characters come."""
+
+    def __missing__(self, i: int):
+        self[i] = found = None if unicodedata.category(chr(i))[0] in "PSM" else i
+        return found
+
+
+_SIGNS = _Signs()
+_ASCII = {i: None for i in range(128) if unicodedata.category(chr(i))[0] in "PSM"}
 
 
 def words_of(text: str) -> list[str]:
     """Words in lower case without any sign, so that layout, case and punctuation do not matter."""
-    s = unicodedata.normalize("NFKD", text).lower()
-    if not s.isascii():
-        s = "".join(c for c in s if not unicodedata.combining(c))
-    return [w for w in (_NOT_WORD.sub("", t) for t in s.split()) if w]
+    if text.isascii():
+        return text.lower().translate(_ASCII).split()
+    return unicodedata.normalize("NFKD", text).lower().translate(_SIGNS).split()
 
 
-class Hasher:
+class Hasher(dict):
     """Words to hashed feature numbers, remembered."""
 
-    def __init__(self):
-        self._seen: dict[str, int] = {}
+    def __missing__(self, word: str) -> int:
+        if len(self) > 2_000_000:
+            self.clear()
+        self[word] = h = zlib.crc32(word.encode()) % DIMS
+        return h
 
     def ids(self, words: list[str]) -> np.ndarray:
-        seen = self._seen
-        if len(seen) > 2_000_000:
-            seen.clear()
-        out = np.empty(len(words), np.int32)
-        for i, w in enumerate(words):
-            h = seen.get(w)
-            if h is None:
-                h = seen[w] = zlib.crc32(w.encode()) % DIMS
-            out[i] = h
-        return out
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
 def blocks_of(n: int) -> list[int]:
@@ -213,6 +216,7 @@ class Items:
                 w = n * idf[u]
                 of.append(k)
                 vectors.append((w / (np.linalg.norm(w) or 1.0)).astype(np.float32) @ space[u])
+        self.pairs = [set(zip(w, w[1:])) for w in self.words]
         self.of = np.array(of, np.int32)
         self.vectors = np.stack(vectors) if vectors else np.zeros((0, space.shape[1]), np.float32)
 
@@ -313,9 +317,10 @@ def _batch(held, known: Items, table: np.ndarray, squares: np.ndarray, candidate
             else:
                 stretches.append([lo, hi])
         found = None
-        own = set(target)
+        pairs = known.pairs[item]
         for lo, hi in stretches:
-            if sum(w in own for w in words[lo:hi]) < share * n * 0.6:
+            part = words[lo:hi]
+            if sum(p in pairs for p in zip(part, part[1:])) < SHARED_PAIRS * share * n - 1:
                 continue
             i0, i1, j0, j1, matched = longest_run(target, words[lo:hi])
             if found is None or i1 - i0 > found[0]:
