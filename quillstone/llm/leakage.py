@@ -158,39 +158,57 @@ def same_word(a: str, b: str) -> bool:
     return a == b or len(a) > 3 and len(b) > 3 and a[0] == b[0] and edit_distance(a, b, 1) <= 1
 
 
-def longest_run(item: list[str], text: list[str]) -> tuple[int, int, int, int, int]:
+class Target:
+    """An item's words, prepared for alignment."""
+
+    def __init__(self, words: list[str]):
+        self.words = words
+        self.pairs = set(zip(words, words[1:]))
+        self._rows: dict[str, np.ndarray | None] = {}
+
+    def row(self, word: str) -> np.ndarray | None:
+        """1 where the item's word is this one (a slip in it does not matter), -1 elsewhere; None when it is nowhere."""
+        if word not in self._rows:
+            if len(self._rows) > 200_000:
+                self._rows.clear()
+            hit = np.array([w == word for w in self.words], bool)
+            if not hit.any():
+                hit = np.array([w[0] == word[0] and abs(len(w) - len(word)) < 2 and same_word(word, w) for w in self.words], bool)
+            self._rows[word] = np.where(hit, 1, -1).astype(np.int16) if hit.any() else None
+        return self._rows[word]
+
+
+def longest_run(item: list[str] | Target, text: list[str]) -> tuple[int, int, int, int, int]:
     """(item start, item end, text start, text end, words matched) of the best local alignment of two word lists.
 
     A word in common scores 1, one slip in a word too; an altered, added or dropped word costs 1, so a run goes on
     over single altered words but not over other text.
     """
-    known: dict[str, int] = {}
-    a = np.array([known.setdefault(w, len(known)) for w in item], np.int32)
-    b = np.array([known.setdefault(w, len(known)) for w in text], np.int32)
-    equal = b[:, None] == a[None, :]
-    odd = [j for j in range(len(text)) if not equal[j].any()]
-    if odd:
-        close: dict[str, list[int]] = {}
-        for j in odd:
-            w = text[j]
-            if w not in close:
-                close[w] = [i for i, v in enumerate(item) if same_word(w, v)]
-            equal[j, close[w]] = True
-    n = len(item)
-    step = np.arange(n + 1, dtype=np.float32)
-    h = np.zeros((len(text) + 1, n + 1), np.float32)
-    for j in range(1, len(text) + 1):
-        t = np.zeros(n + 1, np.float32)
-        t[1:] = np.maximum(h[j - 1, :-1] + np.where(equal[j - 1], 1.0, -1.0), h[j - 1, 1:] - 1.0)
-        t = np.maximum(t, 0.0)
-        h[j] = np.maximum.accumulate(t + step) - step
+    target = item if isinstance(item, Target) else Target(item)
+    n = len(target.words)
+    score = [target.row(w) for w in text]
+    none = np.full(n, -1, np.int16)
+    step = np.arange(n + 1, dtype=np.int16)
+    h = np.zeros((len(text) + 1, n + 1), np.int16)
+    t = np.empty(n + 1, np.int16)
+    for j, s in enumerate(score):
+        above, here = h[j], h[j + 1]
+        t[0] = 0
+        np.add(above[:-1], none if s is None else s, out=t[1:])
+        np.subtract(above, 1, out=here)
+        np.maximum(t, here, out=t)
+        np.maximum(t, 0, out=t)
+        t += step
+        np.maximum.accumulate(t, out=here)
+        here -= step
     j, i = divmod(int(h.argmax()), n + 1)
     end_i, end_j, matched = i, j, 0
     while h[j, i] > 0:
-        if i and j and h[j, i] == h[j - 1, i - 1] + (1.0 if equal[j - 1, i - 1] else -1.0):
-            matched += bool(equal[j - 1, i - 1])
+        hit = i > 0 and j > 0 and score[j - 1] is not None and score[j - 1][i - 1] == 1
+        if i and j and h[j, i] == h[j - 1, i - 1] + (1 if hit else -1):
+            matched += hit
             i, j = i - 1, j - 1
-        elif i and h[j, i] == h[j, i - 1] - 1.0:
+        elif i and h[j, i] == h[j, i - 1] - 1:
             i -= 1
         else:
             j -= 1
@@ -216,7 +234,7 @@ class Items:
                 w = n * idf[u]
                 of.append(k)
                 vectors.append((w / (np.linalg.norm(w) or 1.0)).astype(np.float32) @ space[u])
-        self.pairs = [set(zip(w, w[1:])) for w in self.words]
+        self.targets = [Target(w) for w in self.words]
         self.of = np.array(of, np.int32)
         self.vectors = np.stack(vectors) if vectors else np.zeros((0, space.shape[1]), np.float32)
 
@@ -306,8 +324,8 @@ def _batch(held, known: Items, table: np.ndarray, squares: np.ndarray, candidate
         places[local[k]] = max(places.get(local[k], 0.0), float(near[p, q]))
     for (d, item), places in best.items():
         doc, words, _ = held[d]
-        target = known.words[item]
-        n = len(target)
+        target = known.targets[item]
+        n = len(target.words)
         # neighbouring passages are aligned as one stretch of text
         stretches: list[list[int]] = []
         for s in sorted(places):
@@ -317,7 +335,7 @@ def _batch(held, known: Items, table: np.ndarray, squares: np.ndarray, candidate
             else:
                 stretches.append([lo, hi])
         found = None
-        pairs = known.pairs[item]
+        pairs = target.pairs
         for lo, hi in stretches:
             part = words[lo:hi]
             if sum(p in pairs for p in zip(part, part[1:])) < SHARED_PAIRS * share * n - 1:
