@@ -111,7 +111,6 @@ def parse(address: str) -> tuple[str, str, str, str, str, str, str]:
         street = words[start:at]
         # in a text without separators the street is the one word before the kind of road
         if not separated and len(street) > 1:
-            place += street[:-1]
             street, start = street[-1:], at - 1
         rest = words[:start] + ["|"] + words[at + 1 :]
         near = [w for w in (words[start - 1 : start] + words[at + 1 : at + 2] if start else words[at + 1 : at + 2]) if w[0].isdigit()]

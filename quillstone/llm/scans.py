@@ -51,7 +51,7 @@ MARKS = "-‐‑" + SOFT_MARKS
 
 _PAGE_NO = r"[\dlOISBZo|]{1,4}"
 PAGE = re.compile(rf"^\s*(?:\S{{4}} {_PAGE_NO}|\S{{4}} {_PAGE_NO} \S{{2}} {_PAGE_NO}|{_PAGE_NO} ?/ ?{_PAGE_NO}|\[ ?{_PAGE_NO} ?\]|[-–] ?{_PAGE_NO} ?[-–]|[ivxlc1]{{1,7}}(?<!1)|Seite {_PAGE_NO})\s*$")
-BARE = re.compile(r"^\s*\d{1,4}\s*$")
+BARE = re.compile(r"^\s*(?=[lOISBZo|]*\d)[\dlOISBZo|]{1,4}\s*$")
 _AMOUNT = r"[\dOlISB|][\dOlISB|.,]*\s?(?:mg|mcg|microgram|g|IU|mmol|mL|%|m9|rng|micr0gram)"
 TITLE = re.compile(rf"^\f?\s*[^\W\d_][^\s.;:]*(?:\s[^\s.;:]+){{0,3}}?\s?{_AMOUNT}(?:\s?/\s?{_AMOUNT})*(?:\s\|\s\S+|\s{{2,}}\S+)?\s*$", re.I)
 _AMOUNT_IN = re.compile(r"[\dOlISB|]\s?(?:mg|mcg|microgram|iu|mmol|g\b|ml|%|m9|rng|micr0gram)", re.I)
@@ -81,6 +81,11 @@ def _cells(word: str) -> tuple[int, int]:
     return h % CELLS, (h >> 32) % CELLS
 
 
+def written_number(line: str) -> int:
+    """The number of a bare number's line, letters read as the digits they stand for."""
+    return int("".join(DIGITS.get(c, c) for c in line.strip()))
+
+
 def fold_line(line: str) -> str:
     """A line as furniture is compared: no blanks, lower case, digits as 9, common misreadings undone."""
     s = re.sub(r"\s+", "", line).lower().replace("@", "a").replace("|", "l")
@@ -285,9 +290,9 @@ class Reader:
                 out.append("header")
             else:
                 out.append("?" if BARE.match(x) else "")
-        for i, kind in enumerate(out):
-            if kind != "?":
-                continue
+        open_numbers = [i for i, kind in enumerate(out) if kind == "?"]
+        sure: list[bool] = []
+        for i in open_numbers:
             above, below = out[i - 1] if i else "", out[i + 1] if i + 1 < len(out) else ""
             page = False
             if not strong:
@@ -295,13 +300,40 @@ class Reader:
                 while j >= 0 and out[j] in (" ", "?", "table"):
                     j -= 1
                 in_table = j >= 0 and (out[j] == "" and lines[j].rstrip().endswith(":") or out[j] != "" and self._table_before(lines, out, j))
-                beside = above == "header" or below == "header"
-                page = beside or not in_table and above not in ("?", "table")
-                if in_table and beside and above != "header":
-                    page = below == "header" and not (i + 1 < len(out) and self._is_footer(lines[i + 1]))
+                # a page ends with its number and the next one starts with its title
+                beside = above == "header" and not title_line(lines[i - 1]) or below == "header" and (above != "header" or not in_table)
+                page = beside and not (in_table and above != "header" and self._is_footer(lines[i + 1])) or not beside and not in_table and above not in ("?", "table")
             out[i] = "page_number" if page else "table"
+            sure.append(page)
+        if any(sure):
+            for i, page in zip(open_numbers, self._in_sequence([(written_number(lines[i]), ok) for i, ok in zip(open_numbers, sure)])):
+                edge = i == 0 or i == len(out) - 1 or out[i - 1].strip() != "" or out[i + 1].strip() != "" or lines[i - 1].strip() != "" and lines[i + 1].strip() != ""
+                out[i] = "page_number" if page and (out[i] == "page_number" or edge) else "table"
         return ["" if k == "table" else k for k in out]
 
+    @staticmethod
+    def _in_sequence(numbers: list[tuple[int, bool]]) -> list[bool]:
+        """Which of a text's bare numbers are its pages': the chain of rising numbers that holds most of the likely ones.
+
+        A step of one is free, a page or two without a number cost a little; numbers unlike pages count little.
+        """
+        worth = [1.0 if ok else 0.1 for _, ok in numbers]
+        best, back = list(worth), [-1] * len(numbers)
+        last: dict[int, int] = {}
+        for j, (v, _) in enumerate(numbers):
+            for step, cost in ((1, 0.0), (2, 0.3), (3, 0.6), (4, 0.8)):
+                i = last.get(v - step)
+                if i is not None and best[i] + worth[j] - cost > best[j]:
+                    best[j], back[j] = best[i] + worth[j] - cost, i
+            if v not in last or best[j] >= best[last[v]]:
+                last[v] = j
+        j = max(range(len(numbers)), key=best.__getitem__)
+        keep = [False] * len(numbers)
+        while j >= 0:
+            keep[j] = True
+            j = back[j]
+        return keep
+
     def _is_footer(self, line: str) -> bool:
         return not title_line(line)
 
