@@ -61,6 +61,10 @@ _SIGNS = re.compile(r"[@|$!\dﬁﬂ]")
 _LETTERS = re.compile(r"^[a-z]+$")
 
 
+#: Traces of a scanner within a text: signs in words, soft breaks.
+NOISE = re.compile(r"[a-z][@|$][a-z]|[a-z][0-9][a-z]|[a-z]\||[\u00ad¬‐‑]\n")
+
+
 def page_line(line: str) -> bool:
     """A line that holds only a page's number."""
     return len(line) <= 24 and PAGE.match(line) is not None
@@ -157,8 +161,8 @@ def learn(products: DataFrame, chunks: DataFrame) -> DataFrame:
             marked += any_mark
             if product is not None:
                 s = style.setdefault((product, segment(ci)), [0, 0])
-                s[0] |= any_mark
-                s[1] |= any_mark and True in page
+                s[0] |= any_mark or NOISE.search(text) is not None
+                s[1] |= True in page
             line_all.update(lines)
             if any_mark:
                 for i, f in enumerate(furniture):
@@ -572,50 +576,55 @@ def _context(own: list[str], before: str | None, after: str | None) -> tuple[lis
 
 
 STREAM = T.StructType(
-    [T.StructField("product_id", T.StringType()), T.StructField("seg", T.LongType()), T.StructField("ci", T.LongType()), T.StructField("row_key", T.StringType()), T.StructField("text", T.StringType()), T.StructField("strong", T.LongType())]
+    [T.StructField("product_id", T.StringType()), T.StructField("seg", T.LongType()), T.StructField("ci", T.LongType()), T.StructField("row_key", T.StringType()), T.StructField("text", T.StringType()), T.StructField("style", T.LongType())]
 )
 
 
 def chunk_stream(chunks: DataFrame, learned: DataFrame) -> DataFrame:
-    """The chunks of scanned and other products in reading order, each segment led by a row with the product's page style.
+    """The chunks of all products in reading order, each segment led by a row with the product's page style.
 
     One shuffle, on (product, segment of SEGMENT chunks); the chunks at a segment's ends go to both segments, so that
     each finds its neighbours. Tasks stream, whatever a product's number of chunks.
     """
     style = learned.where("what = 'style'")
     of = style.groupBy("key").agg(F.max("n").alias("scanned"), F.max("m").alias("strong"))
-    lead = style.select("key", F.col("shard").cast("long").alias("seg")).distinct().join(of.where("scanned > 0"), "key")
-    lead = lead.select(F.col("key").alias("product_id"), "seg", F.lit(None).cast("long").alias("ci"), F.lit(None).cast("string").alias("row_key"), F.lit(None).cast("string").alias("text"), F.col("strong").cast("long").alias("strong"))
+    lead = style.select("key", F.col("shard").cast("long").alias("seg")).distinct().join(of, "key")
+    lead = lead.select(F.col("key").alias("product_id"), "seg", F.lit(None).cast("long").alias("ci"), F.lit(None).cast("string").alias("row_key"), F.lit(None).cast("string").alias("text"), (F.col("scanned") * 2 + F.col("strong")).cast("long").alias("style"))
     ci = F.col("chunk_index").cast("long")
     seg = F.floor(ci / SEGMENT)
     segs = F.when(ci.isNull(), F.array(F.lit(-1).cast("long"))).when((ci % SEGMENT == 0) & (ci > 0), F.array(seg, seg - 1)).when(ci % SEGMENT == SEGMENT - 1, F.array(seg, seg + 1)).otherwise(F.array(seg))
     rows = chunks.where(F.col("chunk_text").isNotNull()).select(
-        F.col("product_id").cast("string").alias("product_id"), F.explode(segs.cast("array<bigint>")).alias("seg"), F.coalesce(ci, F.lit(-9).cast("long")).alias("ci"), F.col("id").cast("string").alias("row_key"), F.col("chunk_text").alias("text"), F.lit(None).cast("long").alias("strong")
+        F.col("product_id").cast("string").alias("product_id"), F.explode(segs.cast("array<bigint>")).alias("seg"), F.coalesce(ci, F.lit(-9).cast("long")).alias("ci"), F.col("id").cast("string").alias("row_key"), F.col("chunk_text").alias("text"), F.lit(None).cast("long").alias("style")
     )
     return lead.unionByName(rows).repartition("product_id", "seg").sortWithinPartitions("product_id", "seg", F.col("ci").asc_nulls_first(), "row_key")
 
 
 def _read_stream(source: Iterator[tuple], reader: Reader) -> Iterator[tuple[str, list[str], list]]:
     """(row_key, lines, read lines) of the scanned chunks of a stream, a segment (SEGMENT chunks and one to either side) at a time."""
-    where, strong, held = None, None, []
-    for product, seg, ci, key, text, style in source:
+    where, style, held = None, 0, []
+    for product, seg, ci, key, text, lead in source:
         if (product, seg) != where:
             if held:
-                yield from _read_segment(held, where[1], bool(strong), reader)
-            where, strong, held = (product, seg), None, []
+                yield from _read_segment(held, where[1], style, reader)
+            where, style, held = (product, seg), 0, []
         if text is None:
-            strong = style
-        elif strong is not None:
-            if held and held[-1][0] == ci and ci >= 0:
-                held[-1][1].append((key, text))
-            else:
-                held.append((ci, [(key, text)]))
+            style = lead
+        elif held and held[-1][0] == ci and ci >= 0:
+            held[-1][1].append((key, text))
+        else:
+            held.append((ci, [(key, text)]))
     if held:
-        yield from _read_segment(held, where[1], bool(strong), reader)
+        yield from _read_segment(held, where[1], style, reader)
+
 
+def _read_segment(held: list[tuple[int, list[tuple[str, str]]]], seg: int, style: int, reader: Reader) -> Iterator[tuple[str, list[str], list]]:
+    """Chunks that follow each other are read as the one text they were cut from, the repeated lines once.
 
-def _read_segment(held: list[tuple[int, list[tuple[str, str]]]], seg: int, strong: bool, reader: Reader) -> Iterator[tuple[str, list[str], list]]:
-    """Chunks that follow each other are read as the one text they were cut from, the repeated lines once."""
+    style: 2 for a product with traces of a scanner, plus 1 for one with page lines; without traces, known furniture tells.
+    """
+    if style < 2 and not any(reader.is_furniture(x) for _, rows in held for _, text in rows for x in text.split("\n") if x):
+        return
+    strong = bool(style & 1)
     runs: list[list] = []
     for ci, rows in held:
         if runs and ci >= 0 and runs[-1][-1][0] == ci - 1:
@@ -647,10 +656,10 @@ def _read_segment(held: list[tuple[int, list[tuple[str, str]]]], seg: int, stron
                     yield key, mine, [(i - lo, *rest) for i, *rest in reader.read(all_lines, strong, lo, hi)]
 
 
-def _own_style(lines: list[str]) -> tuple[bool, bool]:
+def _own_style(text: str, lines: list[str], reader: Reader) -> tuple[bool, bool]:
     """(scanned, numbered by page lines) of a whole text."""
-    page = [page_line(x) for x in lines]
-    return True in page or any(map(title_line, lines)), True in page
+    strong = any(map(page_line, lines))
+    return strong or NOISE.search(text) is not None or any(reader.is_furniture(x) for x in lines if x), strong
 
 
 def damaged_lines(products: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -676,7 +685,7 @@ def damaged_lines(products: DataFrame, chunks: DataFrame) -> DataFrame:
         reader = Reader(model.value)
         for key, text in source:
             lines = text.split("\n")
-            scanned, strong = _own_style(lines)
+            scanned, strong = _own_style(text, lines, reader)
             if scanned:
                 for no, kind in kinds(reader.read(lines, strong, 0, len(lines))):
                     yield "document_text", key, no, kind
@@ -742,7 +751,7 @@ def cleaned(products: DataFrame, chunks: DataFrame) -> DataFrame:
         reader = Reader(model.value)
         for key, text in source:
             lines = text.split("\n")
-            scanned, strong = _own_style(lines)
+            scanned, strong = _own_style(text, lines, reader)
             if scanned:
                 yield "document_text", key, paragraphs(lines, reader.read(lines, strong, 0, len(lines)))
 
