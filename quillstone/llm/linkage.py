@@ -201,6 +201,8 @@ def hash_key(*parts: str) -> int:
 # Weights of the soft rules; the exclusivity of a listing is a hard constraint.
 W_NAME, W_LICENCE, W_SUBSTANCE, W_HOLDER, W_PRIOR, W_CONTRADICT, W_SOFT_CONTRADICT, W_TRANSITIVE = 4.0, 3.0, 2.0, 2.0, 1.0, 10.0, 5.0, 1.0
 RHO, STEPS, ACCEPT = 1.0, 60, 0.5
+#: Candidates of one group of like listings that are solved together; a larger group is cut into parts by hash.
+PART = 20_000
 
 FEATURES = ["name", "strength", "form", "substance", "licence", "holder"]
 
@@ -299,7 +301,8 @@ def matches(listings: DataFrame, products: DataFrame, geography: DataFrame) -> D
     """(listing_id, product_id, confidence): every candidate with its value; the accepted are those of ACCEPT or more.
 
     Listings that say the same are one body of evidence with a weight, so copies, however many, cost one row. Evidence
-    of one market, word, strength and form is tied together and lies in one task; the rest spreads by hash.
+    of one market, word, strength and form is tied together and lies in one task, in parts of PART at most; the rest
+    spreads by hash.
     """
     said = ["market", "words", "strength", "form", "substances", "licence", "holder"]
     of_listings = cut(medicines_of_listings(listings).withColumn("evidence", F.xxhash64(*said)))
@@ -310,7 +313,9 @@ def matches(listings: DataFrame, products: DataFrame, geography: DataFrame) -> D
     right = of_products.select(F.col("id").alias("product_id"), *[F.col(c).alias(f"p_{c}") for c in said])
     full = met.join(evidence, "evidence").join(right, "product_id")
     tie = F.xxhash64("market", F.array_join("words", " "), "strength", "form")
-    spread = full.select("evidence", "product_id", F.col("weight").cast("double").alias("weight"), tie.alias("tie"), *said, *[f"p_{c}" for c in said]).repartition("tie")
+    tied = full.select("evidence", "product_id", F.col("weight").cast("double").alias("weight"), tie.alias("tie"), *said, *[f"p_{c}" for c in said])
+    parts = evidence.groupBy(tie.alias("tie")).agg(F.ceil(F.count("*") / F.lit(PART)).alias("parts"))
+    spread = tied.join(parts, "tie").withColumn("tie", F.xxhash64("tie", F.pmod(F.xxhash64("evidence"), F.col("parts")))).drop("parts").repartition("tie")
 
     def rows(source):
         evidence_no: dict[int, int] = defaultdict(lambda: len(evidence_no))
