@@ -315,7 +315,7 @@ def matches(listings: DataFrame, products: DataFrame, geography: DataFrame) -> D
     tie = F.xxhash64("market", F.array_join("words", " "), "strength", "form")
     tied = full.select("evidence", "product_id", F.col("weight").cast("double").alias("weight"), tie.alias("tie"), *said, *[f"p_{c}" for c in said])
     parts = evidence.groupBy(tie.alias("tie")).agg(F.ceil(F.count("*") / F.lit(PART)).alias("parts"))
-    spread = tied.join(parts, "tie").withColumn("tie", F.xxhash64("tie", F.pmod(F.xxhash64("evidence"), F.col("parts")))).drop("parts").repartition("tie")
+    spread = tied.join(parts, "tie").withColumn("tie", F.xxhash64("tie", F.pmod(F.xxhash64("evidence"), F.col("parts")))).select(*tied.columns).repartition("tie")
 
     def rows(source):
         evidence_no: dict[int, int] = defaultdict(lambda: len(evidence_no))
