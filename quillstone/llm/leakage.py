@@ -59,7 +59,7 @@ class Hasher(dict):
     """Words to hashed feature numbers, remembered."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 2_000_000:
+        if len(self) > 500_000:
             self.clear()
         self[word] = h = zlib.crc32(word.encode()) % DIMS
         return h
@@ -169,7 +169,7 @@ class Target:
     def row(self, word: str) -> np.ndarray | None:
         """1 where the item's word is this one (a slip in it does not matter), -1 elsewhere; None when it is nowhere."""
         if word not in self._rows:
-            if len(self._rows) > 200_000:
+            if len(self._rows) > 5_000:
                 self._rows.clear()
             hit = np.array([w == word for w in self.words], bool)
             if not hit.any():

@@ -27,6 +27,8 @@ from quillstone.session import cut
 #: Counters in each of the two rows of a sketch, for words and for word pairs: 64 MB together, whatever the corpus.
 CELLS = 1 << 22
 SHARDS = 16
+#: Distinct words, pairs or lines that a task counts before it hands them on; with it a worker's memory is bounded.
+HELD = 500_000
 #: A misreading is believed when the word it stands for is so many times as frequent as what is written.
 RATIO = 12.0
 #: Chance that a word is misread, and share of it that a word with signs inside keeps of its count.
@@ -61,8 +63,12 @@ _SIGNS = re.compile(r"[@|$!\dﬁﬂ]")
 _LETTERS = re.compile(r"^[a-z]+$")
 
 
-#: Traces of a scanner within a text: signs in words, soft breaks.
-NOISE = re.compile(r"[a-z][@|$][a-z]|[a-z][0-9][a-z]|[a-z]\||[\u00ad¬‐‑]\n")
+_DIGIT_WITHIN = re.compile(r"[a-z][0-9][a-z]")
+
+
+def noisy(text: str) -> bool:
+    """Traces of a scanner within a text: signs that words do not have, soft breaks, digits within words."""
+    return "@" in text or "|" in text or any(mark in text for mark in MARKS[1:]) or _DIGIT_WITHIN.search(text) is not None
 
 
 def page_line(line: str) -> bool:
@@ -161,7 +167,7 @@ def learn(products: DataFrame, chunks: DataFrame) -> DataFrame:
             marked += any_mark
             if product is not None:
                 s = style.setdefault((product, segment(ci)), [0, 0])
-                s[0] |= any_mark or NOISE.search(text) is not None
+                s[0] |= any_mark or not s[0] and noisy(text)
                 s[1] |= True in page
             line_all.update(lines)
             if any_mark:
@@ -175,10 +181,17 @@ def learn(products: DataFrame, chunks: DataFrame) -> DataFrame:
                 tokens = text.split()
             words.update(tokens)
             pairs.update(zip(tokens, tokens[1:]))
-            if len(pairs) > 3_000_000:
+            if len(pairs) > HELD or len(line_all) > HELD or len(words) > HELD:
                 yield from flush(words, pairs)
-                words, pairs = Counter(), Counter()
+                yield from flush_lines(line_all, line_beside)
+                words, pairs, line_all, line_beside = Counter(), Counter(), Counter(), Counter()
         yield from flush(words, pairs)
+        yield from flush_lines(line_all, line_beside)
+        for (product, seg), (scanned, strong) in style.items():
+            yield "style", product, seg, scanned, strong, None
+        yield "texts", "", None, marked, 0, None
+
+    def flush_lines(line_all: Counter, line_beside: Counter) -> Iterator[tuple]:
         folded: dict[str, list[int]] = {}
         for x, n in line_beside.items():
             if not title_line(x) and not page_line(x):
@@ -187,9 +200,6 @@ def learn(products: DataFrame, chunks: DataFrame) -> DataFrame:
                 k[1] += n
         for k, (n, m) in folded.items():
             yield "line", k, None, n, m, None
-        for (product, seg), (scanned, strong) in style.items():
-            yield "style", product, seg, scanned, strong, None
-        yield "texts", "", None, marked, 0, None
 
     def flush(words: Counter, pairs: Counter) -> Iterator[tuple]:
         cores = {t: core(t) for t in words}
@@ -255,7 +265,7 @@ class Model:
             a, b = _cells(word)
             table = self.pairs if " " in word else self.words
             got = self._n[word] = int(min(table[a], table[CELLS + b]))
-            if len(self._n) > 2_000_000:
+            if len(self._n) > HELD:
                 self._n.clear()
         return got
 
@@ -393,7 +403,7 @@ class Reader:
                     both = self.m.n(f"{word[:i]} {word[i:]}")
                     if both >= max(5.0, RATIO * n):
                         options.append((f"{word[:i]} {word[i:]}", math.log(MISREAD), i))
-        if len(self._words) > 1_000_000:
+        if len(self._words) > HELD // 2:
             self._words.clear()
         self._words[token] = n, options
         return n, options
@@ -401,7 +411,7 @@ class Reader:
     def _worth(self, token: str) -> bool:
         """Whether a token is rare or has candidates, so that its line must be decoded."""
         n, options = self.known(token)
-        if len(self._look) > 1_000_000:
+        if len(self._look) > HELD // 2:
             self._look.clear()
         self._look[token] = found = bool(options) or n < max(self.m.total * 3e-5, LEAST)
         return found
@@ -443,6 +453,11 @@ class Reader:
                     joins[i] = x + y
         if not open_places and not joins:
             return None
+        # only the stretch from before the first open place to behind the last one can change
+        places = [i for i, here in enumerate(states) if len(here) > 1] + [x for i in joins for x in (i, i + 1)]
+        lo, hi = max(min(places) - 1, 0), min(max(places) + 2, len(tokens))
+        front, back = [(core(t), 1) for t in tokens[:lo]], [(core(t), 1) for t in tokens[hi:]]
+        tokens, states, joins = tokens[lo:hi], states[lo:hi], {i - lo: w for i, w in joins.items()}
         # layers[i]: for each word that may end before token i, its score and the words up to it
         layers: list[dict[str, tuple[float, list[tuple[str, int]]]]] = [{"": (0.0, [])}]
         for i, here in enumerate(states):
@@ -460,7 +475,7 @@ class Reader:
                         now[w] = s, path + [(w, 2)]
             layers.append(now)
         best = max(layers[-1].values(), key=lambda x: x[0])[1]
-        return None if best == [(core(t), 1) for t in tokens] else best
+        return None if best == [(core(t), 1) for t in tokens] else front + best + back
 
     # ---- broken words
 
@@ -659,7 +674,7 @@ def _read_segment(held: list[tuple[int, list[tuple[str, str]]]], seg: int, style
 def _own_style(text: str, lines: list[str], reader: Reader) -> tuple[bool, bool]:
     """(scanned, numbered by page lines) of a whole text."""
     strong = any(map(page_line, lines))
-    return strong or NOISE.search(text) is not None or any(reader.is_furniture(x) for x in lines if x), strong
+    return strong or noisy(text) or any(reader.is_furniture(x) for x in lines if x), strong
 
 
 def damaged_lines(products: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -154,7 +154,7 @@ def test_pieces_rebuild_the_text_within_limits(spark):
     for k in range(12):
         sentences = [" ".join(prose(k * 50 + i, rng.randrange(3, 25))).capitalize() + "." for i in range(25)]
         texts.append((rng.choice(["\n\n", " ", "\n"]).join(sentences), rng.choice(["SPC", None, "unknown"])))
-    texts += [("x" * 3000, "SPC"), ("中文🙂" * 200, None), ("", "SPC"), (None, "SPC"), ("short.", "SPC"), (" \n" * 300, "SPC")]
+    texts += [("x" * 3000, "SPC"), ("中文🙂" * 200, None), ("中🙂文 größer " * 90, "SPC"), ("🙂🙂" * 90, "SPC"), ("", "SPC"), (None, "SPC"), ("short.", "SPC"), (" \n" * 300, "SPC")]
     got = pieces(spark, texts)
     t = tokens.tokenizer(tokens.default_path())
     for i, (text, kind) in enumerate(texts):
