@@ -61,6 +61,11 @@ def leaves(df: DataFrame, id_column: str, json_column: str) -> DataFrame:
     return map_rows(df.select(F.col(id_column).cast("string"), json_column), LEAVES, rows)
 
 
+# The headings of the units of text that a record becomes.
+LIST_HEADING = "Raw structured registry metadata — {path} (items {first}-{last} of {n}):"
+SUMMARY_HEADING, WHOLE_HEADING = "Raw structured registry metadata (application/product summary):", "Raw structured registry metadata:"
+
+
 def pack_list(path: str, items: list, target: int = TARGET_TOKENS) -> list[str]:
     """A list's items in order, in units of about target tokens, each headed by path and range of items."""
     units, held, size, first = [], [], 0, 1
@@ -68,7 +73,7 @@ def pack_list(path: str, items: list, target: int = TARGET_TOKENS) -> list[str]:
     for no, text in enumerate([*shown, None], 1):
         n = max(1, len(text) // 4) if text is not None else target + 1
         if held and size + n > target:
-            units.append(f"Raw structured registry metadata — {path} (items {first}-{no - 1} of {len(items)}):\n[{', '.join(held)}]")
+            units.append(f"{LIST_HEADING.format(path=path, first=first, last=no - 1, n=len(items))}\n[{', '.join(held)}]")
             held, size, first = [], 0, no
         if text is not None:
             held.append(text)
@@ -88,8 +93,8 @@ def units_of(root, target: int = TARGET_TOKENS) -> list[str]:
             scalars[path] = v
     dump = lambda x: json.dumps(x, ensure_ascii=False, indent=2)
     if scalars:
-        units.insert(0, "Raw structured registry metadata (application/product summary):\n" + dump(scalars))
-    return units or ["Raw structured registry metadata:\n" + dump(root)]
+        units.insert(0, f"{SUMMARY_HEADING}\n{dump(scalars)}")
+    return units or [f"{WHOLE_HEADING}\n{dump(root)}"]
 
 
 UNITS = T.StructType([T.StructField("id", T.StringType()), T.StructField("seq", T.IntegerType()), T.StructField("unit", T.StringType())])

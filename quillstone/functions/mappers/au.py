@@ -16,6 +16,7 @@ SCHEMA = (
 LISTED = ("Listed", "Listed (Export Only)")
 PACK_WORDS = ("tablet", "capsule", "sachet", "ampoule", "amp", "vial", "syringe", "bottle", "dose", "patch", "pen")
 
+# An ingredient with its quantity, and a plain count of a pack.
 _QUANTITY = r"(?i)^([^,]+?),\s*Quantity:\s*([\d.]+)\s*(.+?)\s*$"
 _PACK = rf"(?i)^(?:pack\s+of\s+)?(\d+)\s*(?:'|’)?(?:({'|'.join(PACK_WORDS)})s?)?(?:\s+pack)?$"
 

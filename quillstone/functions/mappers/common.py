@@ -82,6 +82,7 @@ def norm_unit(unit: Column) -> Column:
     return let(F.nullif(strip(unit), F.lit("")), lambda u: F.coalesce(lookup(UNITS, F.upper(u)), F.lower(u)))
 
 
+# Fixed value: a strength as the register writes it (value, unit, basis, per value, per unit).
 _STRENGTH = r"(?i)^\s*(?:EQ\s+)?([\d.,]+)\s*(%|[A-Za-z/]+)(?:\s+([A-Z]+))?(?:\s*/\s*([\d.,]*)\s*([A-Za-z%]+))?\s*$"
 
 

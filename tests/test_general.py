@@ -141,7 +141,7 @@ def test_each_kind_of_change(spark):
 
 
 def test_presence_needs_one_record_and_files_follow_each_other(spark):
-    got = drift.found(records(spark, (1, [{"a": 1}, None, "{broken", ""]), (2, [{"a": 1, "b": None}]), (4, [{"z": 1}]))).collect()
+    got = drift.found(records(spark, (1, [{"a": 1}, None, "{broken", ""]), (2, [{"a": 1, "b": None}]), (4, [{"z": 1}]), (None, [{"y": 1}]))).collect()
     assert [tuple(r) for r in got] == [("eu-feed-001", 2, "added", "b", "")]
     assert drift.found(records(spark, (1, [{"a": 1}])).limit(0)).count() == 0
 
@@ -152,5 +152,6 @@ def test_unified_table_follows_renamings(spark):
     out = drift.unify(df)
     assert {(r["file_seq"], r["original_path"], r["path"], r["type"]) for r in out.collect()} == {(1, "name", "name", "string"), (2, "title", "name", "string"), (3, "title", "name", "array")}
     assert set(out.where("file_seq = 3").select("value").toPandas()["value"]) == set(names)
+    assert all((r["as_array"] == [r["value"]]) if r["type"] == "array" else (r["as_string"] == r["value"] and r["as_array"] is None) for r in out.collect())
     fused = {r["path"]: (r["alternatives"], r["canonical"]) for r in drift.fused_schema(df).collect()}
     assert fused == {"name": (["string"], "string"), "title": (["array", "string"], "string")}
