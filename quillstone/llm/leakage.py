@@ -28,9 +28,6 @@ FIT_DOCUMENTS = 4_000
 CANDIDATE = 0.4
 #: Share of an item's words that one run must cover.
 SHARE = 0.5
-#: Word pairs that a run must share with its item exactly, as a part of the words it must cover, to be aligned at all: a run
-#: falls short of it only when more than a quarter of its words are altered or slipped. Known leaks at sf0.1 have 1.1 and more.
-SHARED_PAIRS = 0.5
 #: Share of a run's words that must be the item's: only single words may be altered.
 MATCHED = 0.85
 #: Items searched at once.
@@ -164,20 +161,59 @@ class Target:
 
     def __init__(self, words: list[str]):
         self.words = words
-        self.pairs = set(zip(words, words[1:]))
+        self._places: dict[str, int] = {}
+        self._starts: dict[str, list[str]] = {}
+        for i, w in enumerate(words):
+            if w not in self._places and len(w) > 3:
+                self._starts.setdefault(w[0], []).append(w)
+            self._places[w] = self._places.get(w, 0) | 1 << i
+        self._masks: dict[str, int] = {}
         self._rows: dict[str, np.ndarray | None] = {}
 
+    def mask(self, word: str) -> int:
+        """A bit for each place where the item's word is this one; only when it is nowhere, for each place one slip away."""
+        found = self._places.get(word)
+        if found is None:
+            found = self._masks.get(word)
+        if found is None:
+            if len(self._masks) > 5_000:
+                self._masks.clear()
+            found = 0
+            for w in self._starts.get(word[0], ()):
+                if abs(len(w) - len(word)) < 2 and same_word(word, w):
+                    found |= self._places[w]
+            self._masks[word] = found
+        return found
+
     def row(self, word: str) -> np.ndarray | None:
         """1 where the item's word is this one (a slip in it does not matter), -1 elsewhere; None when it is nowhere."""
         if word not in self._rows:
             if len(self._rows) > 5_000:
                 self._rows.clear()
-            hit = np.array([w == word for w in self.words], bool)
-            if not hit.any():
-                hit = np.array([w[0] == word[0] and abs(len(w) - len(word)) < 2 and same_word(word, w) for w in self.words], bool)
-            self._rows[word] = np.where(hit, 1, -1).astype(np.int16) if hit.any() else None
+            mask = self.mask(word)
+            self._rows[word] = np.array([1 if mask >> i & 1 else -1 for i in range(len(self.words))], np.int16) if mask else None
         return self._rows[word]
 
+    def most_matched(self, text: list[str]) -> int:
+        """The most words that any alignment with the text can match: the longest common subsequence, by bits."""
+        full = (1 << len(self.words)) - 1
+        v = full
+        for w in text:
+            m = self.mask(w)
+            if m:
+                u = v & m
+                v = (v + u | v - u) & full
+        return len(self.words) - v.bit_count()
+
+    def may_hold(self, text: list[str], matched: float) -> bool:
+        """False only where no run that longest_run finds in the text matches so many words.
+
+        A run scores above zero, so it has fewer words added than matched and spans less than twice the item: each lies
+        whole in one of the windows.
+        """
+        step = 2 * len(self.words)
+        return any(self.most_matched(text[i : i + 2 * step]) >= matched for i in range(0, max(len(text) - step, 1), step))
+
 
 def longest_run(item: list[str] | Target, text: list[str]) -> tuple[int, int, int, int, int]:
     """(item start, item end, text start, text end, words matched) of the best local alignment of two word lists.
@@ -336,15 +372,15 @@ def _batch(held, known: Items, table: np.ndarray, squares: np.ndarray, candidate
             else:
                 stretches.append([lo, hi])
         found = None
-        pairs = target.pairs
+        least = math.ceil(share * n)
         for lo, hi in stretches:
             part = words[lo:hi]
-            if sum(p in pairs for p in zip(part, part[1:])) < SHARED_PAIRS * share * n - 1:
+            if not target.may_hold(part, MATCHED * least):
                 continue
-            i0, i1, j0, j1, matched = longest_run(target, words[lo:hi])
-            if found is None or i1 - i0 > found[0]:
-                found = i1 - i0, lo + j0, lo + j1, matched
-        if found and found[0] >= math.ceil(share * n) and found[3] >= MATCHED * found[0]:
+            i0, i1, j0, j1, matched = longest_run(target, part)
+            if i1 - i0 >= least and matched >= MATCHED * (i1 - i0) and (found is None or i1 - i0 > found[0]):
+                found = i1 - i0, lo + j0, lo + j1
+        if found:
             after = words[found[2] : found[2] + 4]
             yield doc, known.ids[item], found[0] / n, max(places.values()), found[1], bool(known.answers[item]) and known.answers[item].lower() in after
 

@@ -1,5 +1,6 @@
 """Scan repair, leaks, mixing and splitting: found cases, exact results, odd input."""
 
+import math
 import random
 
 import pytest
@@ -121,6 +122,34 @@ def test_leaks_recall_against_brute_force(leaky):
     assert len(got & brute) >= 0.9 * len(brute) and got <= brute
 
 
+def test_every_run_that_would_be_accepted_is_aligned():
+    rng = random.Random(3)
+    accepted = 0
+    for k in range(300):
+        item = prose(k, rng.randrange(6, 80))
+        run = item[rng.randrange(len(item) // 3 + 1) :]
+        every = rng.randrange(1, 4)
+        run = [w[:-1] + "q" if len(w) > 3 and i % every == 0 else w for i, w in enumerate(run)]
+        for _ in range(rng.randrange(len(run))):
+            run.insert(rng.randrange(len(run)), "added")
+        text = prose(k + 1, rng.randrange(300)) + run + prose(k + 2, rng.randrange(300))
+        target = leakage.Target(item)
+        a, b, _, _, m = leakage.longest_run(target, text)
+        least = math.ceil(leakage.SHARE * len(item))
+        if b - a >= least and m >= leakage.MATCHED * (b - a):
+            accepted += 1
+            assert target.may_hold(text, leakage.MATCHED * least)
+    assert accepted > 100
+
+
+def test_a_half_with_every_third_word_slipped_leaks(spark):
+    item = [f"{w}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i, w in enumerate(prose(77, 74))]
+    run = [w[:-2] + "q" + w[-1] if i % 3 == 2 else w for i, w in enumerate(item[:38])]
+    texts = [" ".join(prose(i, 120)) for i in range(20)] + [" ".join(prose(50, 30) + run + prose(51, 30))]
+    documents = spark.createDataFrame([(i, t, "s", 0, None) for i, t in enumerate(texts)], DOC)
+    assert [tuple(r) for r in leakage.found(documents, spark.createDataFrame([(1, "a", " ".join(item), "B")], ITEM)).collect()] == [(20, 1)]
+
+
 def test_leaks_of_nothing(leaky):
     documents, items = leaky
     assert leakage.found(documents.limit(0), items).count() == 0 and leakage.found(documents, items.limit(0)).count() == 0
