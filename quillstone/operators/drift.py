@@ -12,6 +12,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -254,61 +255,112 @@ UNIFIED = T.StructType(
         T.StructField("file_seq", T.IntegerType()),
         T.StructField("original_path", T.StringType()),
         T.StructField("path", T.StringType()),
+        T.StructField("ordinals", T.ArrayType(T.IntegerType())),
         T.StructField("type", T.StringType()),
         T.StructField("value", T.StringType()),
     ]
 )
 
+#: The last file of a name that is still in use.
+OPEN = 2**31 - 1
+
+
+def _first_name(path: str, live: dict[str, tuple[str, int]]) -> str:
+    """The first name of a path, by its own renaming or its nearest renamed ancestor's."""
+    at = path
+    while at:
+        if at in live:
+            return live[at][0] + path[len(at) :]
+        at = at[:-2] if at.endswith("[]") else at.rpartition(".")[0]
+    return path
+
 
 def canonical_paths(change_rows: DataFrame) -> DataFrame:
-    """(feed, file_seq, original_path, path): the first name of every path that was renamed, from the file of the renaming on.
+    """(feed, original_path, path, from_seq, to_seq): the first name of every path that was renamed, from the file of the renaming on.
 
-    A feed's renamings (bounded by its files and paths) are followed in one task, in order of the files.
+    A feed's renamings (bounded by its files and paths) are followed in one task, in order of the files. A renamed or
+    removed path takes the renamed paths below it along, so what is below a path goes by the longest one listed.
     """
     out = T.StructType([f for f in UNIFIED if f.name in ("feed", "original_path", "path")] + [T.StructField("from_seq", T.IntegerType()), T.StructField("to_seq", T.IntegerType())])
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
-        rows, live = [], {}
+        feed, rows, live = frame["feed"].iloc[0], [], {}
         for seq, kind, a, b in frame.sort_values(["file_seq", "change", "field"])[["file_seq", "change", "field", "new_field"]].itertuples(index=False):
+            if kind not in ("renamed", "removed"):
+                continue
+            first = _first_name(a, live)
+            below = {p: live.pop(p) for p in list(live) if p == a or p.startswith((f"{a}.", f"{a}[]"))}
+            rows += [(feed, p, name, since, int(seq) - 1) for p, (name, since) in below.items() if since < seq]
             if kind == "renamed":
-                first, _ = live.pop(a, (a, None))
-                live[b] = (first, seq)
-                rows.append([frame["feed"].iloc[0], b, first, int(seq), 2**31 - 1])
-            elif kind == "removed" and a in live:
-                live.pop(a)
-            if kind in ("renamed", "removed"):
-                for r in rows:
-                    if r[1] == a and r[4] == 2**31 - 1 and r[3] < seq:
-                        r[4] = int(seq) - 1
+                live |= {b + p[len(a) :]: (name, int(seq)) for p, (name, _) in below.items()} | {b: (first, int(seq))}
+        rows += [(feed, p, name, since, OPEN) for p, (name, since) in live.items()]
         return pd.DataFrame(rows, columns=[f.name for f in out])
 
     return change_rows.groupBy("feed").applyInPandas(one, out)
 
 
+def paths_of(root: dict, names: dict[str, str]) -> Iterator[tuple[str, str, list[int], str, str]]:
+    """(original path, path, ordinals, type, value) of every value below a parsed record that is not null.
+
+    Paths are written as in `walk`, with one `[]` for an array, however deep; ordinals has the places in the arrays.
+    Objects, and arrays that hold objects, have a row as they were written and are entered as well.
+    """
+    stack = [(root, "", "", [])]
+    while stack:
+        here, at, first, places = stack.pop()
+        for key, child in here.items():
+            p = f"{at}.{key}" if at else key
+            c = names.get(p) or (f"{first}.{key}" if first else key)
+            inner = [(child, p, c, places)]
+            while inner:
+                x, original, path, ordinals = inner.pop()
+                if x is None:
+                    continue
+                if x is child or not isinstance(x, (dict, list)) or x == {}:
+                    yield original, path, ordinals, json_type(x), x if isinstance(x, str) else json.dumps(x, ensure_ascii=False)
+                if isinstance(x, dict):
+                    stack.append((x, original, path, ordinals))
+                elif isinstance(x, list) and (x is not child or _holds_objects(x)):
+                    inner.extend((y, f"{p}[]", f"{c}[]", [*ordinals, i]) for i, y in enumerate(x))
+
+
+def _holds_objects(items: list) -> bool:
+    stack = list(items)
+    while stack:
+        x = stack.pop()
+        if isinstance(x, dict):
+            return True
+        if isinstance(x, list):
+            stack.extend(x)
+    return False
+
+
 def unify(records: DataFrame, change_rows: DataFrame | None = None) -> DataFrame:
     """All records in one consistent long table: renamed paths under their first name, every value with its type tag,
     its canonical text, and its typed branch (as_string, as_number, as_boolean, as_array, as_object: one of them is set).
-    One row for each top-level path of each record; null values have none.
+    One row for each path of each record, at any depth, with the ordinals of the array elements it lies in; null values
+    have none. The renamings of a path and of its ancestors apply; the row of an object or of an array with objects
+    holds it as it was written, the rows of what is in it have the first names.
     """
     names = canonical_paths(change_rows if change_rows is not None else changes(records))
+    base = records.select(F.col("id").cast("long").alias("id"), "feed", F.col("file_seq").cast("int").alias("file_seq"), "json_data")
+    # the names that hold in a file, so that a record is joined once and not each of its values
+    files = base.select(F.col("feed").alias("f_feed"), F.col("file_seq").alias("f_seq")).distinct()
+    of_file = files.join(names, (F.col("f_feed") == F.col("feed")) & F.col("f_seq").between(F.col("from_seq"), F.col("to_seq")))
+    of_file = of_file.groupBy("f_feed", "f_seq").agg(F.collect_list(F.array("original_path", "path")).alias("names"))
+    joined = base.join(of_file, (F.col("feed") == F.col("f_feed")) & (F.col("file_seq") == F.col("f_seq")), "left")
 
     def rows(source):
-        for record, feed, seq, text in source:
+        for record, feed, seq, text, pairs in source:
             root = parse_json(text)
             if isinstance(root, dict):
-                for key, value in root.items():
-                    if value is not None:
-                        shown = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
-                        yield record, feed, seq, key, key, json_type(value), shown
-
-    flat = map_rows(records.select(F.col("id").cast("long"), "feed", F.col("file_seq").cast("int"), "json_data"), UNIFIED, rows)
-    n = names.select(F.col("feed").alias("n_feed"), F.col("original_path").alias("n_original"), F.col("path").alias("n_path"), "from_seq", "to_seq")
-    joined = flat.join(
-        n, (F.col("feed") == F.col("n_feed")) & (F.col("original_path") == F.col("n_original")) & F.col("file_seq").between(F.col("from_seq"), F.col("to_seq")), "left"
-    )
+                for row in paths_of(root, dict(pairs or ())):
+                    yield record, feed, seq, *row
+
+    flat = map_rows(joined.select("id", "feed", "file_seq", "json_data", "names"), UNIFIED, rows)
     value = F.col("value")
     branch = lambda t, x: F.when(F.col("type") == t, x).alias(f"as_{t}")
-    return joined.select(
-        "id", "feed", "file_seq", "original_path", F.coalesce("n_path", "original_path").alias("path"), "type", F.when(F.col("type") == "array", canonical_text(value)).otherwise(value).alias("value"),
+    return flat.select(
+        "id", "feed", "file_seq", "original_path", "path", "ordinals", "type", F.when(F.col("type") == "array", canonical_text(value)).otherwise(value).alias("value"),
         branch("string", value), branch("number", value.try_cast("double")), branch("boolean", value.try_cast("boolean")), branch("array", F.from_json(value, "array<string>")), branch("object", value),
     )

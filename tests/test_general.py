@@ -155,3 +155,26 @@ def test_unified_table_follows_renamings(spark):
     assert all((r["as_array"] == [r["value"]]) if r["type"] == "array" else (r["as_string"] == r["value"] and r["as_array"] is None) for r in out.collect())
     fused = {r["path"]: (r["alternatives"], r["canonical"]) for r in drift.fused_schema(df).collect()}
     assert fused == {"name": (["string"], "string"), "title": (["array", "string"], "string")}
+
+
+def test_unified_table_reconciles_nested_paths(spark):
+    names = ["Abacavir tablets", "Zinc oral solution", "Talc cream 5 mg", "Nasal spray 2 mL"]
+    product = lambda k, n: {"p": [{k: n, "no": 1}, {k: n, "no": 2}]}
+    one, two = [{"top": product("state", n)} for n in names], [{"top": product("status", n)} for n in names]
+    three = [{"head": product("status", n)} for n in names]
+    changed = spark.createDataFrame([("eu-feed-001", 2, "renamed", "top.p[].state", "top.p[].status"), ("eu-feed-001", 3, "renamed", "top", "head")], drift.CHANGES)
+    df = records(spark, (1, one), (2, two), (3, three))
+    for out in (drift.unify(df, changed), drift.unify(df)):
+        rows = out.where("type = 'string'").collect()
+        assert {(r["file_seq"], r["original_path"], r["path"]) for r in rows} == {(1, "top.p[].state", "top.p[].state"), (2, "top.p[].status", "top.p[].state"), (3, "head.p[].status", "top.p[].state")}
+        assert sorted(tuple(r["ordinals"]) for r in rows) == [(0,)] * 12 + [(1,)] * 12 and {r["as_string"] for r in rows} == set(names)
+        assert {r["path"] for r in out.collect()} == {"top", "top.p", "top.p[].state", "top.p[].no"}
+
+
+def test_paths_of_odd_arrays():
+    root = {"a": [[{"b": 1}], 2, None, {}], "c": {}, "d": [], "e": [[1], 2], "f": None}
+    got = sorted(drift.paths_of(root, {"a": "z", "e": "y"}))
+    assert got == sorted([
+        ("a", "z", [], "array", '[[{"b": 1}], 2, null, {}]'), ("a[].b", "z[].b", [0, 0], "number", "1"), ("a[]", "z[]", [1], "number", "2"), ("a[]", "z[]", [3], "object", "{}"),
+        ("c", "c", [], "object", "{}"), ("d", "d", [], "array", "[]"), ("e", "y", [], "array", "[[1], 2]"),
+    ])
