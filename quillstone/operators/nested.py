@@ -169,6 +169,14 @@ def child_table(triples: DataFrame, field: str, pattern: str, keys: list[str]) -
     )
 
 
+def node_values(triples: DataFrame) -> DataFrame:
+    """Every value of every pattern in one long table: its node ('' = the record), the key within it, its type and text.
+
+    Narrow. With `nodes`, which has the nodes' parents and those without any value, it holds the whole of the records.
+    """
+    return triples.where(F.col("kind") == LEAF).select("record_id", "field", "pattern", "node_path", F.col("ordinal").cast("long").alias("ordinal"), "key", "type", "value")
+
+
 def discover_keys(triples: DataFrame, field: str, pattern: str) -> list[str]:
     """Keys met in one repeated ancestor, sorted. Bounded by the schema, not by the rows."""
     found = triples.where((F.col("field") == field) & (F.col("pattern") == pattern) & (F.col("kind") == LEAF)).select("key").distinct()

@@ -35,6 +35,7 @@ def queries() -> dict[str, Query]:
         "p7_found": _on("products", nested.found),
         "p7_presentations": _on("products", _child("presentations[]", ["form", "route", "per_value", "per_unit", "pack_size", "pack_unit"])),
         "p7_active_ingredients": _on("products", _child("presentations[].active_ingredients[]", ["substance", "strength_value", "strength_unit", "salt.substance"])),
+        "p7_values": _on("products", lambda df: nested.node_values(nested.product_triples(df)).withColumnRenamed("record_id", "product_id")),
         "p7_tables": _on("products", lambda df: nested.node_patterns(nested.product_triples(df, nodes_only=True))),
     }
 

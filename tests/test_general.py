@@ -114,6 +114,20 @@ def test_child_tables_keep_links_and_values(spark):
     assert nested.discover_keys(triples, "product_data", "presentations[]") == ["form", "pack_size", "pack_unit", "per_unit", "per_value"]
 
 
+def test_values_of_every_pattern_are_in_a_registered_query(spark, tmp_path):
+    import __spark_entry__
+
+    data = {"indications": [{"condition": "q", "line": {"no": 2}}], "presentations": [{"unlisted": "u", "active_ingredients": [{"extra": 1}]}], "note": None}
+    products(spark, ("1", data, {"findings": [{"at": [{"text": "t"}, {"codes": [1, 2]}]}]}), ("2", None, "{broken")).write.parquet(str(tmp_path / "products.parquet"))
+    got = {tuple(r) for r in __spark_entry__.queries()["p7_values"](spark, str(tmp_path)).select("product_id", "field", "pattern", "node_path", "ordinal", "key", "type", "value").collect()}
+    d, j = ("1", "product_data"), ("1", "json_data")
+    assert got == {
+        (*d, "indications[]", "indications[0]", 0, "condition", "string", "q"), (*d, "indications[]", "indications[0]", 0, "line.no", "number", "2"), (*d, "", "", 0, "note", "null", None),
+        (*d, "presentations[]", "presentations[0]", 0, "unlisted", "string", "u"), (*d, "presentations[].active_ingredients[]", "presentations[0].active_ingredients[0]", 0, "extra", "number", "1"),
+        (*j, "findings[].at[]", "findings[0].at[0]", 0, "text", "string", "t"), (*j, "findings[].at[]", "findings[0].at[1]", 1, "codes", "array", "[1, 2]"),
+    }
+
+
 def test_depth_is_not_limited_by_recursion():
     value = {"v": 1}
     for _ in range(5000):
