@@ -63,7 +63,10 @@ def _fold(text: str) -> str:
 
 def market_code(text: str | None) -> str:
     key = re.sub(r"[^a-z]", "", (text or "").lower())
-    return _MARKET.get(key, key)
+    if key in _MARKET or len(key) < 5:
+        return _MARKET.get(key, key)
+    near = {code for word, code in _MARKET.items() if len(word) >= 5 and edit_distance(key, word, 1) <= 1}
+    return near.pop() if len(near) == 1 else key
 
 
 def strengths_in(text: str) -> tuple[str, str]:
@@ -171,22 +174,34 @@ def medicines_of_products(products: DataFrame, geography: DataFrame) -> DataFram
             yield record, *read_product(*rest)
 
     columns = ["id", "product_name", "brand_name", "generic_name", "active_ingredients", "strengths", "dosage_forms", "registration_number", "mah_name"]
-    return map_rows(active.select(*columns, F.coalesce("code_by_agency", "code_by_id").alias("market")), T.StructType(MEDICINE), rows)
+    return map_rows(active.select(*columns, F.coalesce("code_by_agency", "code_by_id", F.lit("")).alias("market")), T.StructType(MEDICINE), rows)
+
+
+def markets_agree(listing: str, product: str, same_licence: bool) -> bool:
+    """Equal, or one is silent; a listing's text that is no known market is outweighed by the licence."""
+    return listing == product or not listing or not product or listing not in MARKETS and same_licence
 
 
 def _keys(medicines: DataFrame, of_product: bool) -> DataFrame:
-    """(k, id): the join keys of a medicine: its licence; market, misspelling-tolerant word and strength, or form."""
+    """(k, id): the join keys of a medicine: its licence; market, misspelling-tolerant word and strength, or form.
+
+    A silent market stands for any: a side that has none, and the whole other side, have keys that name only this side.
+    """
 
     def rows(source):
         for record, market, words, strength, form, licence in source:
             if licence:
-                yield hash_key("l", market, licence), record
+                yield hash_key("l", licence), record
+            own, other = ("product", "listing") if of_product else ("listing", "product")
+            # (the silent side, the market)
+            scopes = [(other, ""), ("", market) if market else (own, "")]
             for w in words[:1] if of_product else words:
                 for v in slips(w):
-                    if strength:
-                        yield hash_key("s", market, v, strength), record
-                    if form:
-                        yield hash_key("f", market, v, form), record
+                    for scope in scopes:
+                        if strength:
+                            yield hash_key("s", *scope, v, strength), record
+                        if form:
+                            yield hash_key("f", *scope, v, form), record
 
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("id", T.StringType())])
     return map_rows(medicines.select("id", "market", "words", "strength", "form", "licence"), schema, rows)
@@ -323,6 +338,8 @@ def matches(listings: DataFrame, products: DataFrame, geography: DataFrame) -> D
         who, listing, ties, weights, features = [], [], [], [], []
         for e, p, weight, t, *rest in source:
             f = likeness(tuple(rest[:7]), tuple(rest[7:]))
+            if not markets_agree(rest[0], rest[7], f[4] == 1.0):
+                continue
             if f[0] < 0.6 and f[4] < 1.0:
                 continue
             who.append((e, p))

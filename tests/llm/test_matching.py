@@ -159,6 +159,17 @@ def test_listing(spark, listing, want):
     assert [tuple(r) for r in got] == ([(7, want)] if want else [])
 
 
+def test_a_silent_market_stands_for_any(spark):
+    said = ("Omfremoxon 75 mg FC tab", "critaprazune", "Omfremoxon")
+    listings, rows, geography = tables(spark, [
+        (1, *said, "1000213", "Morymo Ltd", None, "id"), (2, *said, None, None, "", "id"), (3, *said, "1000213", None, "Austrlia", "id"), (4, *said, "1000213", "Morymo Ltd", "UK", "id"),
+        (5, "Nowherin 20 mg capsule", None, "Nowherin", "777888", None, "AU", "id"), (6, "Nowherim 20 mg capsule", None, None, None, None, "UK", "id"),
+        (7, *said, None, None, "Austrlia", "id"), (8, *said, "1000213", None, "Atlantis", "id"), (9, *said, None, None, "Atlantis", "id"),
+    ])
+    nowhere = spark.createDataFrame([("p9", True, None, None, "Nowherin 20 mg capsule", "Nowherin", None, None, ["20 mg"], ["capsule"], "777888", None, "m")], PRODUCT)
+    assert {tuple(r) for r in linkage.found(listings, rows.unionByName(nowhere), geography).collect()} == {(1, "p1"), (2, "p1"), (3, "p1"), (5, "p9"), (6, "p9"), (7, "p1"), (8, "p1")}
+
+
 def test_listings_copies_and_none(spark):
     same = [(i, "Omfremoxon 75 mg FC tab", None, "Omfremoxon", None, None, "AU", "x") for i in range(50)]
     out = linkage.linked(*tables(spark, same)).collect()
