@@ -10,12 +10,14 @@ from __future__ import annotations
 import json
 from decimal import Decimal
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillstone.functions.arrowio import map_rows
 from quillstone.operators.nested import as_contract_array, parse_json
+from quillstone.session import cut
 
 # Unit words (lower case, without outer dots), their common unit and the factor to it.
 UNITS: dict[str, tuple[str, str]] = {
@@ -49,8 +51,10 @@ COMMON = ("mg", "mL", "IU", "mmol", "tablet", "capsule", "vial", "ampoule", "sac
 # Words for a container whose content is counted, as regular-expression alternatives.
 CONTAINERS = r"(?:packs?|blisters?|box(?:e?s)?|trays?|cartons?|strips?|cases?|bundles?|packets?|sleeves?|kits?)"
 
-#: The forest is fitted on at most so many labelled quantities, chosen by a hash of the product's id.
+#: The forest is fitted on at most so many labelled quantities, chosen by a hash of the quantity's place.
 TRAIN_ROWS = 20_000
+#: Resolution of that choice, and number of steps of the calibrated confidence.
+HASH_STEPS, CALIBRATION = 1 << 20, 512
 TREES, DEPTH, SEED = 24, 8, 7
 #: A predicted unit is used from this calibrated probability on; below it the quantity goes to review.
 CONFIDENT = 0.9
@@ -129,36 +133,47 @@ def number(text: Column) -> Column:
     return clean.try_cast("decimal(38,12)")
 
 
-def _lookup(part: int) -> Column:
-    return F.create_map(*[F.lit(x) for k, v in UNITS.items() for x in (k, v[part])])
+def _lookup(part: int, key: Column) -> Column:
+    pairs = ", ".join(f"'{k}', '{v[part]}'" for k, v in UNITS.items())
+    return F.element_at(F.expr(f"map({pairs})"), key)
 
 
 def resolve(raw: DataFrame) -> DataFrame:
     """Adds common_unit and amount (decimal, in the common unit); both null where the unit cannot be read.
 
-    The text of value and unit are read as one phrase `[n container of] n unit`: counts within counts multiply.
+    The text of value and unit are read as one phrase `[n container of] n unit`: counts within counts multiply. Each
+    step is a column of its own, which the optimizer computes once however often it is used.
     """
     value = F.when(F.col("value_is_number"), F.col("value_text").try_cast("decimal(38,12)")).otherwise(number(F.col("value_text")))
-    joined = F.lower(F.concat_ws(" ", F.when(value.isNull(), F.col("value_text")), F.col("unit_text")))
-    words = F.trim(F.regexp_replace(joined, r"(?U)\s+", " "))
+    df = raw.withColumn("_value", value)
+    joined = F.lower(F.concat_ws(" ", F.when(F.col("_value").isNull(), F.col("value_text")), F.col("unit_text")))
+    df = df.withColumn("_words", F.trim(F.regexp_replace(joined, r"(?U)\s+", " ")))
+    words = F.col("_words")
+    # a leading multiplier "x10^6" belongs to the unit
+    df = df.withColumn("_power", F.regexp_extract(words, r"^x ?10\^?[0-9]+ ?[a-z]", 0) != "")
     # "pack of", "boxs of", "blisters x", "carton" in front of a count only say that counts multiply
     peeled = F.regexp_replace(words, rf"\b{CONTAINERS}\b\.?\s*(?:of|x|×|\*)?\s*", " x ")
     peeled = F.trim(F.regexp_replace(peeled, r"[×*]|(?<=[0-9 ])x(?= ?[0-9])", " x "))
-    # a leading multiplier "x10^6" belongs to the unit
-    power = F.regexp_extract(words, r"^x ?10\^?[0-9]+ ?[a-z]", 0) != ""
-    text = F.when(power, words).otherwise(peeled)
+    df = df.withColumn("_text", F.when(F.col("_power"), words).otherwise(peeled))
+    text, power = F.col("_text"), F.col("_power")
     factors = F.regexp_extract_all(F.when(power, F.lit("")).otherwise(text), F.lit(rf"(?:^|[\s x])({NUM})(?=[^0-9.,^]|$)"), F.lit(1))
     unit_words = F.when(power, F.regexp_replace(text, r"^x ?10", "x10")).otherwise(
         F.regexp_replace(F.regexp_replace(text, rf"(?:^|(?<=[\s x])){NUM}", " "), r"^[\sx]+(?=[^0-9]|$)", "")
     )
-    key = tidy_unit(unit_words)
     product = F.aggregate(F.transform(factors, number), F.lit(1).cast("decimal(38,12)"), lambda a, x: (a * x).cast("decimal(38,12)"))
-    df = raw.withColumns({"_value": value, "_key": key, "_product": product})
-    df = df.withColumns({"common_unit": _lookup(0)[F.col("_key")], "_factor": _lookup(1)[F.col("_key")].cast("decimal(38,12)")})
+    df = df.withColumns({"_key": tidy_unit(unit_words), "_product": product})
+    df = df.withColumns({"common_unit": _lookup(0, F.col("_key")), "_factor": _lookup(1, F.col("_key")).cast("decimal(38,12)")})
+    known = F.col("common_unit").isNotNull()
     amount = (F.coalesce(F.col("_value"), F.lit(1).cast("decimal(38,12)")) * F.col("_product")).cast("decimal(38,12)")
-    return df.withColumn("amount", F.when(F.col("common_unit").isNotNull(), (amount * F.col("_factor")).cast("decimal(38,12)"))).withColumn(
-        "raw_unit", F.when(F.col("common_unit").isNotNull(), F.concat_ws("|", "common_unit", F.col("_factor").cast("double").cast("string")))
-    ).drop("_product", "_factor")
+    df = df.withColumns({
+        "amount": F.when(known, (amount * F.col("_factor")).cast("decimal(38,12)")),
+        "raw_unit": F.when(known, F.concat_ws("|", "common_unit", F.col("_factor").cast("double").cast("string"))),
+    })
+    return df.drop("_product", "_factor", "_words", "_power", "_text")
+
+
+#: Quantities that the model can learn from: a value and a readable unit.
+LABELLED = "raw_unit is not null and _value is not null"
 
 
 def _features(df: DataFrame) -> DataFrame:
@@ -170,47 +185,57 @@ def _features(df: DataFrame) -> DataFrame:
     words = [F.coalesce(F.lower(F.col("form")).contains(w).cast("double"), F.lit(0.0)).alias(f"f_{w}") for w in ("tablet", "capsule", "solution", "cream", "powder", "patch", "sachet", "injection")]
     return df.select(
         "*", size.alias("f_size"), F.coalesce(whole, F.lit(0.0)).alias("f_whole"), hashed(F.col("source"), 16).alias("f_source"),
-        hashed(_lookup(0)[tidy_unit(F.col("near_unit"))], 16).alias("f_near"), *kinds, *words,
+        hashed(_lookup(0, tidy_unit(F.col("near_unit"))), 16).alias("f_near"), *kinds, *words,
     )
 
 
 class UnitModel:
     """A random forest for the unit of a quantity, with its confidence calibrated by isotonic regression on held-out rows."""
 
-    def __init__(self, forest, labels: list[str], calibrator, columns: list[str], held_out_accuracy: float):
-        self.forest, self.labels, self.calibrator, self.columns, self.held_out_accuracy = forest, labels, calibrator, columns, held_out_accuracy
+    def __init__(self, forest, labels: list[str], calibration: list[float], columns: list[str], held_out_accuracy: float):
+        self.forest, self.labels, self.calibration, self.columns, self.held_out_accuracy = forest, labels, calibration, columns, held_out_accuracy
 
     @classmethod
     def fit(cls, resolved: DataFrame, train_rows: int = TRAIN_ROWS) -> "UnitModel | None":
-        """Fits on labelled quantities with a value; None where there are none. The sample is bounded by train_rows."""
+        """Fits on labelled quantities with a value; None where there are none.
+
+        The sample is bounded by train_rows: tasks hand on only rows below a hash threshold set from the number of all
+        labelled rows, so what reaches the driver is the same at every size of the input. A fourth of the products is
+        held out for the calibration.
+        """
         from pyspark.ml.classification import RandomForestClassifier
         from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.functions import vector_to_array
         from pyspark.ml.regression import IsotonicRegression
 
-        labelled = resolved.where(F.col("raw_unit").isNotNull() & F.col("_value").isNotNull())
-        picked = labelled.orderBy(F.xxhash64("product_id", "presentation_no", "ingredient_no", "quantity")).limit(train_rows)
-        sample = _features(picked).toPandas()
-        if sample.empty:
+        labelled = resolved.where(LABELLED)
+        n = labelled.count()
+        if not n:
             return None
-        columns = [c for c in sample.columns if c.startswith("f_")]
+        order = F.xxhash64("product_id", "presentation_no", "ingredient_no", "quantity")
+        # 19 of 20 rows of the bound are aimed at, so that chance does not pass it
+        below = HASH_STEPS if n <= train_rows else int(HASH_STEPS * 0.95 * train_rows / n)
+        picked = labelled.where(F.pmod(order, F.lit(HASH_STEPS)) < below)
+        held = F.pmod(F.xxhash64("product_id"), F.lit(4)) == 0
+        columns = [c for c in _features(picked).columns if c.startswith("f_")]
+        sample = _features(picked).select(*columns, "raw_unit", held.alias("held"), order.alias("order")).toPandas()
+        sample = sample.sort_values(["order", *columns], ignore_index=True).head(train_rows)
         labels = sorted(sample["raw_unit"].unique())
-        spark = resolved.sparkSession
-        part = sample[columns].astype(float).assign(label=sample["raw_unit"].map({u: float(i) for i, u in enumerate(labels)}))
-        part["held"] = part.index % 4 == 0
-        base = VectorAssembler(inputCols=columns, outputCol="features").transform(spark.createDataFrame(part).coalesce(1))
-        if len(labels) == 1:
-            return cls(None, labels, None, columns, 1.0)
-        train = base.where(~F.col("held"))
-        forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32, featureSubsetStrategy="sqrt").fit(train)
-        from pyspark.ml.functions import vector_to_array
-
+        if len(labels) < 2:
+            return cls(None, labels, [1.0], columns, 1.0) if labels else None
+        part = sample[columns].astype(float).assign(label=sample["raw_unit"].map({u: float(i) for i, u in enumerate(labels)}), held=sample["held"])
+        if part["held"].all() or not part["held"].any():  # too few products to hold any out
+            part["held"] = part.index % 4 == 0
+        base = VectorAssembler(inputCols=columns, outputCol="features").transform(resolved.sparkSession.createDataFrame(part).coalesce(1))
+        forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32, featureSubsetStrategy="sqrt").fit(base.where(~F.col("held")))
         scored = forest.transform(base.where("held")).select(F.array_max(vector_to_array("probability")).alias("p"), (F.col("prediction") == F.col("label")).cast("double").alias("hit"))
-        calibrator = IsotonicRegression(featuresCol="p", labelCol="hit").fit(scored)
+        fitted = IsotonicRegression(featuresCol="p", labelCol="hit").fit(scored)
+        steps = np.interp(np.arange(CALIBRATION + 1) / CALIBRATION, fitted.boundaries.toArray(), fitted.predictions.toArray())
         accuracy = scored.agg(F.avg("hit")).first()[0]
-        return cls(forest, labels, calibrator, columns, float(accuracy or 0.0))
+        return cls(forest, labels, [round(float(x), 6) for x in steps], columns, float(accuracy or 0.0))
 
     def predict(self, open_rows: DataFrame) -> DataFrame:
-        """open_rows with predicted raw_unit and its calibrated confidence."""
+        """open_rows with the predicted unit and factor (`predicted`) and the calibrated confidence in it."""
         from pyspark.ml.feature import VectorAssembler
         from pyspark.ml.functions import vector_to_array
 
@@ -220,24 +245,28 @@ class UnitModel:
         scored = self.forest.transform(ready)
         names = F.array(*[F.lit(x) for x in self.labels])
         scored = scored.withColumns({"predicted": F.element_at(names, F.col("prediction").cast("int") + 1), "p": F.array_max(vector_to_array("probability"))})
-        bounds, values = [float(x) for x in self.calibrator.boundaries], [float(x) for x in self.calibrator.predictions]
-        confidence = F.lit(values[0])
-        for (x0, y0), (x1, y1) in zip(zip(bounds, values), zip(bounds[1:], values[1:])):
-            if x1 > x0:
-                confidence = F.when(F.col("p") >= x0, F.lit(y0) + (F.least(F.col("p"), F.lit(x1)) - x0) * ((y1 - y0) / (x1 - x0))).otherwise(confidence)
+        # one array of a fixed number of steps: the plan does not grow with the fit, and a step's lower end never overrates
+        steps = F.expr(f"array({', '.join(f'{x}D' for x in self.calibration)})")
+        confidence = F.element_at(steps, F.floor(F.least(F.col("p"), F.lit(1.0)) * CALIBRATION).cast("int") + 1)
         return scored.withColumn("confidence", confidence).select(*open_rows.columns, "predicted", "confidence")
 
 
 def converted(products: DataFrame, confident: float = CONFIDENT, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """Every quantity in its common unit, with `how` = recorded, read or predicted, or `review` (amount null)."""
-    resolved = resolve(recorded(products))
+    """Every quantity in its common unit, with `how` = recorded, read or predicted, or `review` (amount null).
+
+    The JSON is opened once and its quantities are written to the checkpoint folder; a model is fitted only where a
+    quantity has no readable unit.
+    """
+    resolved = cut(resolve(recorded(products)))
     exact = F.col("value_is_number") & (F.col("unit_text") == F.col("common_unit"))
     readable = resolved.where(F.col("common_unit").isNotNull()).withColumns(
         {"how": F.when(exact, F.lit("recorded")).otherwise(F.lit("read")), "confidence": F.lit(1.0)}
     )
     unread = resolved.where(F.col("common_unit").isNull())
-    model = UnitModel.fit(resolved, train_rows)
     keep = ["product_id", "presentation_no", "ingredient_no", "quantity", "value_text", "unit_text", "common_unit", "amount", "how", "confidence"]
+    if unread.isEmpty():
+        return readable.select(keep)
+    model = UnitModel.fit(resolved, train_rows)
     if model is None:
         return readable.unionByName(unread.withColumns({"how": F.lit("review"), "confidence": F.lit(0.0)})).select(keep)
     guessed = model.predict(unread)
@@ -253,6 +282,27 @@ def converted(products: DataFrame, confident: float = CONFIDENT, train_rows: int
     return readable.select(keep).unionByName(guessed.select(keep))
 
 
+def hidden(products: DataFrame, confident: float = CONFIDENT, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """(product_id, presentation_no, ingredient_no, quantity, written, predicted, confidence, how, right) of every quantity
+    with a value and a readable unit, that unit hidden from the model: what the model is worth on these tables.
+
+    written and predicted are `unit|factor` to the common unit; how is `predicted` from the confidence asked for, else
+    `review`. Where a confident prediction is not right, the written unit is a candidate for review itself. The rows of
+    the training sample (TRAIN_ROWS at most) are among them.
+    """
+    resolved = cut(resolve(recorded(products)))
+    model = UnitModel.fit(resolved, train_rows)
+    rows = resolved.where(LABELLED)
+    if model is None:
+        rows = rows.withColumns({"predicted": F.lit(None).cast("string"), "confidence": F.lit(0.0)})
+    else:
+        rows = model.predict(rows)
+    return rows.select(
+        "product_id", F.col("presentation_no").cast("long").alias("presentation_no"), F.col("ingredient_no").cast("long").alias("ingredient_no"), "quantity", F.col("raw_unit").alias("written"), "predicted", "confidence",
+        F.when(F.col("confidence") >= confident, F.lit("predicted")).otherwise(F.lit("review")).alias("how"), (F.col("predicted") == F.col("raw_unit")).alias("right"),
+    )
+
+
 def found(products: DataFrame) -> DataFrame:
     """The quantities not already recorded as a number in the common unit, converted; those for review are left out."""
     return (

@@ -29,6 +29,7 @@ def queries() -> dict[str, Query]:
     return {
         "p3_found": _on("products", quantities.found),
         "p3_converted": _on("products", lambda df: quantities.converted(df).groupBy("quantity", "common_unit", "how").agg(F.count("*").alias("n"))),
+        "p3_hidden_units": _on("products", quantities.hidden),
         "p4_found": _on("drug_predicate_raw_records", drift.found),
         "p4_fused_schema": _on("drug_predicate_raw_records", drift.fused_schema),
         "p4_unified": _on("drug_predicate_raw_records", drift.unify),
