@@ -3,6 +3,8 @@
 Distinct addresses are parsed into components; addresses with equal components form a class. The classes are sorted
 once for each of several component orders, neighbours within a window are compared by edit distance with adjacent
 transpositions, house number, unit and postcode having to agree exactly, and the matches are linked by star clustering.
+Where more classes share a leading key than a window spans, each is compared with the best connected ones of the run
+too, and the centres and lone classes of such runs are sorted and compared again until no link is new.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ import re
 import unicodedata
 from collections import deque
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +22,7 @@ from quillstone.llm.graph import pairs_within, star_clusters
 from quillstone.llm.similarity import edit_distance
 from quillstone.session import cut
 
-#: Rows that each row is compared with, to either side, in each order.
+#: Rows that each row is compared with, to either side, in each order; longer runs of one leading key are gone through in rounds.
 WINDOW = 16
 #: Positions compared in one task.
 BLOCK = 4096
@@ -40,12 +42,22 @@ COUNTRIES = {
     "ch": "switzerland|schweiz|suisse|ch", "it": "italy|italia|it", "ie": "ireland|ie", "in": "india|ind", "jp": "japan|jp", "ca": "canada|ca", "br": "brazil|brasil|br",
 }
 
+# Kinds of thoroughfare that stand before the name, with their short forms, and endings of German compounds.
+BEFORE = {"street": "rue r calle c/ via rua ulica ul", "avenue": "avenida avda", "square": "plaza plza piazza", "boulevard": "bulevar", "lane": "camino chemin"}
+ENDINGS = {"street": "strasse str", "lane": "weg gasse", "square": "platz pl", "avenue": "allee"}
+# Small words within names of streets and places, which writers add and leave out.
+ARTICLES = set("de la le les du des del della di da do dos das der den dem el los las of the et y".split())
+
+_BEFORE = {v: k for k, words in BEFORE.items() for v in words.split()}
+_ENDING = {v: k for k, words in ENDINGS.items() for v in words.split()}
+_COMPOUND = re.compile(r"([^\W\d_]{3,}?)(" + "|".join(sorted(_ENDING, key=len, reverse=True)) + r")")
 _STREET = {v: k for k, words in STREETS.items() for v in words.split()}
 _UNIT = {v: k for k, words in UNITS.items() for v in words.split()}
 _COUNTRY = {v: k for k, words in COUNTRIES.items() for v in words.split("|")}
 _COUNTRY_RE = re.compile(r"(?<![^\s])(" + "|".join(sorted((re.escape(v) for v in _COUNTRY if " " in v), key=len, reverse=True)) + r")(?![^\s])")
 _UNIT_RE = re.compile(r"(?<![^\s|])(" + "|".join(sorted(_UNIT, key=len, reverse=True)) + r") (?:no |nr |number |# ?)?(\d+[a-z]?)(?![^\s|])")
-_POST_RE = re.compile(r"(?<![^\s|])(\d{5}|[a-z]\d{1,2} ?\d[a-z]{2})(?![^\s|])")
+# five or six digits (also with an addition or a gap), and the letter-and-digit codes of Britain, Canada and the Netherlands
+_POST_RE = re.compile(r"(?<![^\s|])(\d{5,6}(?=-\d{4}(?![^\s|]))|\d{5,6}|\d{3} \d{3}|[a-z]{1,2}\d[a-z\d]? ?\d[a-z]{2}|[a-z]\d[a-z] ?\d[a-z]\d|\d{4} ?[a-z]{2}(?<!st|nd|rd|th))(?:-\d{4})?(?![^\s|])")
 
 PARTS = T.StructType(
     [
@@ -68,8 +80,9 @@ def parse(address: str) -> tuple[str, str, str, str, str, str, str]:
     street is the distinctive word(s) before the kind of road; unit is kind and number; a text without any component
     keeps all its words as place.
     """
-    s = unicodedata.normalize("NFKD", address.lower())
+    s = unicodedata.normalize("NFKD", address.lower()).replace("ß", "ss")
     s = "".join(c for c in s if not unicodedata.combining(c))
+    s = re.sub(r"(?<![^\s,;])c/\s*(?=[^\W\d])", "c/ ", s)
     s = re.sub(r"\s*[,;\n\r\t]\s*| - ", " | ", s)
     s = re.sub(r"[.'’\"()]", " ", s).replace("#", " no ")
     s = " ".join(s.split())
@@ -102,8 +115,26 @@ def parse(address: str) -> tuple[str, str, str, str, str, str, str]:
     s = _POST_RE.sub(take_post, s)
     words = s.split()
     house, street, road, place = "", [], "", []
+    before = next((i for i, w in enumerate(words[:-1]) if w in _BEFORE and (i == 0 or words[i - 1] == "|" or words[i - 1][0].isdigit()) and words[i + 1][0].isalpha()), None)
     at = next((i for i, w in enumerate(words) if w in _STREET and i > 0 and words[i - 1] != "|" and not words[i - 1].isdigit()), None)
-    if at is not None:
+    compound = next((i for i, w in enumerate(words) if _COMPOUND.fullmatch(w)), None) if before is None and at is None else None
+    if before is not None or compound is not None:
+        start = before if before is not None else compound
+        end = start + 1
+        if before is not None:  # the name goes on to the next number or separator
+            road = _BEFORE[words[before]]
+            while end < len(words) and words[end] != "|" and not words[end][0].isdigit() and (separated or sum(w not in ARTICLES for w in words[start + 1 : end]) < 1):
+                end += 1
+            street = [w for w in words[start + 1 : end] if w not in ARTICLES]
+        else:
+            stem, ending = _COMPOUND.fullmatch(words[compound]).groups()
+            street, road = [stem], _ENDING[ending]
+        rest = words[:start] + ["|"] + words[end:]
+        near = [w for w in words[start - 1 if start else 0 : start] + [w for w in words[end : end + 2] if w != "|"][:1] if w[0].isdigit()]
+        if near:
+            house = near[0]
+            rest.remove(house)
+    elif at is not None:
         road = _STREET[words[at]]
         start = at - 1
         while start > 0 and words[start - 1] not in ("|", "no", "nr") and not words[start - 1][0].isdigit() and at - start < 2:
@@ -126,7 +157,7 @@ def parse(address: str) -> tuple[str, str, str, str, str, str, str]:
             house = w
         elif not country and w in _COUNTRY:
             country = _COUNTRY[w]
-        elif w not in _COUNTRY:
+        elif w not in _COUNTRY and w not in ARTICLES:
             place.append(w)
     return " ".join(sorted(units)), house, " ".join(street), road, postcode, " ".join(sorted(place)), country
 
@@ -149,9 +180,11 @@ def classes(addresses: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _word(a: str, b: str) -> float:
-    """Likeness of two words: 1 - distance / length within one edit (two from nine letters on), else 0."""
+    """Likeness of two words: 1 - distance / length within one edit (two from nine letters on), else 0; numbers must be equal."""
     if a == b:
         return 1.0
+    if any(c.isdigit() for c in a) or any(c.isdigit() for c in b):
+        return 0.0
     longest = max(len(a), len(b))
     limit = 0 if longest < 3 else 1 if longest < 9 else 2
     d = edit_distance(a, b, limit)
@@ -275,17 +308,100 @@ def neighbour_links(groups: DataFrame, window: int = WINDOW, block: int = BLOCK)
     return map_rows(lined, LINKS, compare).groupBy("a", "b").agg(F.max("w").alias("w"))
 
 
+def _scored(met: DataFrame) -> DataFrame:
+    """The links among met pairs (id_a, id_b and the components of both)."""
+
+    def rows(source):
+        for x, y, *parts in source:
+            w = score(tuple(parts[: len(KEY)]), tuple(parts[len(KEY) :]))
+            if w > 0:
+                yield min(x, y), max(x, y), w
+
+    return map_rows(met.select("id_a", "id_b", *[f"{k}_a" for k in KEY], *[f"{k}_b" for k in KEY]), LINKS, rows)
+
+
+def leads(groups: DataFrame) -> DataFrame:
+    """(lead, id): the leading keys of a class. Two classes of one site share one, but for slips in every word of it."""
+    fixed = [F.col("house"), F.col("unit")]
+    key = lambda mark, *c: F.xxhash64(F.lit(mark), *fixed, *c)
+    by_post = F.when(F.col("postcode") != "", key("post", F.col("postcode")))
+    by_place = F.when(F.col("place") != "", key("place", F.col("place")))
+    by_word = F.when((F.col("street") != "") & (F.col("place") != ""), F.transform(F.split("place", " "), lambda w: key("word", F.col("street"), w)))
+    keys = F.array_compact(F.concat(F.array(by_post, by_place), F.coalesce(by_word, F.array().cast("array<bigint>"))))
+    return groups.select(F.explode(F.array_distinct(keys)).alias("lead"), "id")
+
+
+def pivot_links(groups: DataFrame, near: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(links, ids): in every run of more than `window` classes with one leading key, each class is compared with the
+    `window` best connected ones; ids are the classes of such runs.
+
+    A run's pivots are picked by a limited window function, which leaves `window` rows a task before the shuffle; the
+    rows of a hot run are spread by a salt.
+    """
+    of = cut(leads(groups))
+    runs = of.groupBy("lead").agg(F.count("*").alias("n")).where(F.col("n") > window).select("lead")
+    of = cut(of.join(runs, "lead"))
+    links_of = near.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
+    ranked = of.join(links_of, "id", "left").join(groups.select("id", "grade", F.col("n").alias("times")), "id")
+    order = Window.partitionBy("lead").orderBy(F.coalesce("degree", F.lit(0)).desc(), F.desc("grade"), F.desc("times"), "id")
+    pivots = ranked.withColumn("no", F.row_number().over(order)).where(F.col("no") <= window)
+    salts = 8
+    right = pivots.select("lead", F.col("id").alias("id_b"), F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(salts)])).alias("s"))
+    left = of.select("lead", F.col("id").alias("id_a"), F.pmod(F.xxhash64("id"), F.lit(salts)).alias("s"))
+    met = left.join(right, ["lead", "s"]).where("id_a <> id_b").select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
+    side = lambda x: groups.select(F.col("id").alias(f"id_{x}"), *[F.col(k).alias(f"{k}_{x}") for k in KEY])
+    return _scored(met.join(side("a"), "id_a").join(side("b"), "id_b")), of.select("id").distinct()
+
+
+def _together(moved: DataFrame, groups: DataFrame) -> DataFrame:
+    """(id, center): a class follows its centre to another centre unless the two contradict each other."""
+    side = lambda x, name: groups.select(F.col("id").alias(name), *[F.col(k).alias(f"{k}_{x}") for k in ("postcode", "country", "road")])
+    free = lambda k: (F.col(f"{k}_a") == "") | (F.col(f"{k}_b") == "") | (F.col(f"{k}_a") == F.col(f"{k}_b"))
+    seen = moved.join(side("a", "id"), "id").join(side("b", "center"), "center")
+    return seen.select("id", F.when(free("postcode") & free("country") & free("road"), F.col("center")).otherwise(F.col("first")).alias("center"))
+
+
+def sites(groups: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(id, center): the star of every class that is linked to another.
+
+    The first round sorts and compares all classes. Later rounds take the centres and lone classes of runs longer than a
+    window, which move closer together as the satellites leave, and end when a round links nothing; each
+    round that links takes classes out, so that the number of rounds is bounded by the length of the longest run over the window.
+    """
+    grade = groups.select("id", "grade")
+    alive, of = groups, None
+    while True:
+        near = cut(neighbour_links(alive, window))
+        more, crowded = pivot_links(alive, near, window)
+        links = cut(near.unionByName(more).groupBy("a", "b").agg(F.max("w").alias("w")))
+        if links.isEmpty():
+            break
+        stars = cut(star_clusters(links, grade))
+        if of is None:
+            of = stars
+        else:
+            step = stars.select(F.col("id").alias("center"), F.col("center").alias("next"))
+            kept = of.join(step, "center", "left")
+            still = kept.where("next is null or next = center").select("id", "center")
+            moved = kept.where("next <> center").select("id", F.col("center").alias("first"), F.col("next").alias("center"))
+            fresh = stars.join(of.select("id"), "id", "left_anti")
+            of = cut(still.unionByName(_together(moved, groups)).unionByName(fresh))
+        satellites = stars.where("id <> center").select("id")
+        alive = cut(alive.join(crowded, "id", "left_semi").join(satellites, "id", "left_anti"))
+        if alive.isEmpty():
+            break
+    return of if of is not None else groups.sparkSession.createDataFrame([], "id bigint, center bigint")
+
+
 def clusters(products: DataFrame) -> DataFrame:
     """(address, cluster, n_links): one row for each distinct writing, with its cluster and the cluster's size less one.
 
     Null and blank addresses have no row; an address like no other is a cluster of its own.
     """
     members, groups = classes(distinct_addresses(products))
-    groups = cut(groups)
     parts = sum(F.when(F.col(k) != "", 1).otherwise(0) for k in ("postcode", "country"))
-    grade = groups.select("id", (parts * 10 + F.size(F.split("place", " "))).cast("int").alias("grade"))
-    stars = star_clusters(neighbour_links(groups), grade)
-    of = members.join(stars, "id", "left").select("address", F.coalesce("center", "id").alias("cluster"))
+    groups = cut(groups.withColumn("grade", (parts * 10 + F.size(F.split("place", " "))).cast("int")))
+    of = members.join(sites(groups), "id", "left").select("address", F.coalesce("center", "id").alias("cluster"))
     size = of.groupBy("cluster").agg((F.count("*") - 1).alias("n_links"))
     return of.join(size, "cluster").select("address", "cluster", "n_links")
 

@@ -1,6 +1,7 @@
 """Names, addresses and listings: linked variants, kept distinctions, odd input."""
 
 import itertools
+import random
 
 import pytest
 from hypothesis import given
@@ -108,6 +109,47 @@ def test_neighbours_meet_across_blocks(spark):
     assert addresses.neighbour_links(groups, window=4, block=7).count() == 60
 
 
+def slipped(word, n, seed=5):
+    """n different spellings of a word, each one letter changed, added or left out, the word itself first."""
+    rng, out = random.Random(seed), {word: None}
+    while len(out) < n:
+        i, c = rng.randrange(len(word)), rng.choice("abcdefghijklmnopqrstuvwxyz")
+        out.setdefault(rng.choice([word[:i] + c + word[i + 1 :], word[:i] + c + word[i:], word[:i] + word[i + 1 :]]))
+    return list(out)
+
+
+@pytest.mark.parametrize("street, n", [("Stolumirandu", 71), ("Velomas", 71), ("Stolumirandu", 500)])
+def test_a_site_in_more_spellings_than_a_window(spark, street, n):
+    """Every spelling is one slip from the right one, and two from most others."""
+    spellings = [f"104 {w} Road, Holmeport, Oakshire D9 4AB" for w in slipped(street, n)]
+    rng = random.Random(3)
+    spellings = [x.replace(", Oakshire", "") if rng.random() < 0.2 else x.replace(" D9 4AB", "") if rng.random() < 0.1 else x for x in spellings]
+    other = [f"{i} {street} Road, Holmeport, Oakshire D9 4AB" for i in range(1, 30)]
+    found = pairs(addresses.found(products(spark, spellings + other)))
+    want = within([spellings])
+    assert found <= want and len(found) >= 0.9 * len(want)
+
+
+def test_one_street_in_many_towns(spark):
+    towns = [f"{a}{b}{c}stad" for a in ("Kirk", "Vel", "Mor") for b in ("ola", "ine", "uba") for c in ("run", "gat", "pel", "dom", "fas")]
+    full = [f"7 Main Street, {t}, Oakshire {20000 + i}" for i, t in enumerate(towns)]
+    short = [f"7 Main St, {t}" for t in towns]
+    assert pairs(addresses.found(products(spark, full, short))) == within([list(x) for x in zip(full, short)])
+
+
+@pytest.mark.parametrize(
+    "a, b, same",
+    [
+        ("10 Downing Street, London SW1A 1AA", "10 Downing St., SW1A1AA London, UK", True), ("12 MG Road, Bengaluru 560001, India", "No. 12, MG Rd, Bengaluru 560 001", True),
+        ("Hauptstraße 5, 10115 Berlin", "Hauptstr. 5, 10115 Berlin, Germany", True), ("Calle Mayor 3, 28013 Madrid", "C/ Mayor, 3, Madrid 28013, Spain", True),
+        ("12 Rue de la Paix, 75002 Paris", "12 r. de la Paix, Paris 75002 France", True), ("12 Rue de la Paix, 75002 Paris", "12 Rue du Bac, 75002 Paris", False),
+        ("5 George Street, Sydney NSW 2000", "5 George St, Sydney NSW 2001", False), ("Hauptstr. 5, 10115 Berlin", "Hauptstr. 6, 10115 Berlin", False),
+    ],
+)
+def test_addresses_of_many_countries(a, b, same):
+    assert (addresses.score(addresses.parse(a), addresses.parse(b)) > 0) == same
+
+
 def test_addresses_on_odd_input(spark):
     odd = ["?", ",;-", "12", "street", "12 street", "x" * 30_000, None, "Unit"]
     assert addresses.clusters(products(spark, odd)).count() == 7
