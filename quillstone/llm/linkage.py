@@ -2,14 +2,14 @@
 
 Candidates come from equi-joins on misspelling-tolerant keys. Weighted rules on similarity, exclusivity and
 transitivity over the candidates make a hinge-loss Markov field, whose most probable state is a convex problem; it is
-solved by consensus ADMM, partitioned so that every rule lies within one task. A candidate's value is its confidence.
+solved by consensus ADMM to a set residual, partitioned so that every rule lies within one task. A candidate's value is
+its confidence.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -215,9 +215,16 @@ def hash_key(*parts: str) -> int:
 
 # Weights of the soft rules; the exclusivity of a listing is a hard constraint.
 W_NAME, W_LICENCE, W_SUBSTANCE, W_HOLDER, W_PRIOR, W_CONTRADICT, W_SOFT_CONTRADICT, W_TRANSITIVE = 4.0, 3.0, 2.0, 2.0, 1.0, 10.0, 5.0, 1.0
-RHO, STEPS, ACCEPT = 1.0, 60, 0.5
-#: Candidates of one group of like listings that are solved together; a larger group is cut into parts by hash.
-PART = 20_000
+ACCEPT = 0.5
+#: Alternating directions end when copies and values differ by less than this (their scaled moves by ten times it); the
+#: number of steps is a guard against a field that never settles, which raises an error.
+SETTLED, GUARD = 1e-4, 200_000
+#: Weight of half the square of each value: with it the optimum is one point, not a face of equally good ones.
+RIDGE = 0.1
+#: Candidates solved at once: whole groups are taken together until they hold so many.
+BATCH = 4_000
+#: Rows of a join key that one task reads; a hotter key is spread over tasks.
+HOT = 20_000
 
 FEATURES = ["name", "strength", "form", "substance", "licence", "holder"]
 
@@ -247,10 +254,18 @@ def likeness(a: tuple, b: tuple) -> tuple[float, ...]:
 
 
 class HingeField:
-    """A hinge-loss field over candidates, as arrays; `solve` runs consensus ADMM on all of them at once."""
+    """A hinge-loss field over candidates, as arrays; `solve` runs consensus ADMM on all of them at once.
 
-    def __init__(self, listing: np.ndarray, tie: np.ndarray, weight: np.ndarray, features: np.ndarray):
+    group numbers the independent parts of the field (none shares a listing or a tie with another). Each has its own
+    step size and its own end; within a group only the ratio of weights matters, so they are divided by the greatest.
+    """
+
+    def __init__(self, listing: np.ndarray, tie: np.ndarray, weight: np.ndarray, features: np.ndarray, group: np.ndarray | None = None):
         n = self.n = len(listing)
+        self.group = np.zeros(n, np.int64) if group is None else group
+        greatest = np.zeros(int(self.group.max()) + 1 if n else 0)
+        np.maximum.at(greatest, self.group, weight)
+        weight = weight / greatest[self.group]
         f = {k: features[:, i] for i, k in enumerate(FEATURES)}
         known = {k: v >= 0 for k, v in f.items()}
         v = {k: np.where(known[k], x, 1.0) for k, x in f.items()}
@@ -272,89 +287,162 @@ class HingeField:
         self.w = np.stack([r[0] * weight for r in rules])
         self.sign = np.array([r[1] for r in rules])[:, None]
         self.offset = np.stack([r[2] for r in rules])
-        self.listing, self.listings = listing, int(listing.max()) + 1 if n else 0
-        self.tie, self.ties, self.weight = tie, int(tie.max()) + 1 if n else 0, weight
-
-    def solve(self, steps: int = STEPS, rho: float = RHO) -> np.ndarray:
-        n, k = self.n, len(self.w)
-        if not n:
-            return np.zeros(0)
-        z, y = np.full(n, 0.5), np.full(self.ties, 0.5)
-        u, ux = np.zeros((k, n)), np.zeros(n)  # scaled duals of the rules' copies and of the exclusivity's
-        up, uq = np.zeros((2, n)), np.zeros((2, n))  # of the two transitivity rules: the candidate's and the tie's copies
-        sizes = np.maximum(np.bincount(self.listing, minlength=self.listings), 1)
-        tied = np.bincount(self.tie, minlength=self.ties)
+        self.listing, self.tie, self.weight = listing, tie, weight
+
+    def solve(self, settled: float = SETTLED, guard: int = GUARD) -> np.ndarray:
+        """The candidates' values at the optimum, to two decimals (the residuals allow no more)."""
+        out, here = np.zeros(self.n), np.arange(self.n)
+        state: dict[str, np.ndarray] = {}
+        for _ in range(guard):
+            if not len(here):
+                return np.round(out, 2)
+            z, here, state = self._steps(here, state, settled, out)
+        raise RuntimeError("the field did not settle")
+
+    def _steps(self, here: np.ndarray, state: dict, settled: float, out: np.ndarray, steps: int = 50):
+        """Some steps over the open groups' candidates; settled groups are written to out and leave."""
+        w, sign, offset, weight = self.w[:, here], self.sign, self.offset[:, here], self.weight[here]
+        listing, tie, group = (np.unique(x[here], return_inverse=True)[1] for x in (self.listing, self.tie, self.group))
+        n, k = len(here), len(w)
+        sizes, tied, groups = np.bincount(listing), np.bincount(tie), int(group.max()) + 1
+        if not state:
+            state = {"z": np.full(n, 0.5), "y": np.full(n, 0.5), "rho": np.ones(n), "u": np.zeros((k, n)), "ux": np.zeros(n), "up": np.zeros((2, n)), "uq": np.zeros((2, n))}
+        z, u, ux, up, uq, rho = (state[x] for x in ("z", "u", "ux", "up", "uq", "rho"))
+        y = np.zeros(len(tied))
+        y[tie] = state["y"]
         for _ in range(steps):
             v = z - u
-            gap = self.sign * v + self.offset
-            moved = v - self.sign * self.w / rho
-            x = np.where(gap <= 0, v, np.where(self.sign * moved + self.offset >= 0, moved, v - self.sign * gap))
+            gap = sign * v + offset
+            moved = v - sign * w / rho
+            x = np.where(gap <= 0, v, np.where(sign * moved + offset >= 0, moved, v - sign * gap))
             # exclusivity: the candidates of a listing sum to one at most
             e = z - ux
-            over = np.maximum(np.bincount(self.listing, weights=e, minlength=self.listings) - 1.0, 0.0) / sizes
-            e = e - over[self.listing]
+            over = np.maximum(np.bincount(listing, weights=e) - 1.0, 0.0) / sizes
+            e = e - over[listing]
             # transitivity: like listings agree about a product, through the value y of their group
-            p, q = z - up, y[self.tie] - uq
+            p, q = z - up, y[tie] - uq
             for i, s in enumerate((1.0, -1.0)):
                 g = s * (p[i] - q[i])
-                step = np.clip(g / 2.0, 0.0, W_TRANSITIVE * self.weight / rho)
+                step = np.clip(g / 2.0, 0.0, W_TRANSITIVE * weight / rho)
                 p[i] -= s * step
                 q[i] += s * step
-            z = np.clip(((x + u).sum(axis=0) + e + ux + (p + up).sum(axis=0)) / (k + 3), 0.0, 1.0)
-            y = np.clip(np.bincount(self.tie, weights=(q + uq).sum(axis=0), minlength=self.ties) / (2 * np.maximum(tied, 1)), 0.0, 1.0)
-            u += x - z
-            ux += e - z
-            up += p - z
-            uq += q - y[self.tie]
-        return z
+            before, y_before = z, y
+            z = np.clip(((x + u).sum(axis=0) + e + ux + (p + up).sum(axis=0)) / (k + 3 + RIDGE * weight / rho), 0.0, 1.0)
+            y = np.clip(np.bincount(tie, weights=(q + uq).sum(axis=0)) / (2 * tied), 0.0, 1.0)
+            u = u + x - z
+            ux = ux + e - z
+            up = up + p - z
+            uq = uq + q - y[tie]
+        apart = np.maximum.reduce([np.abs(x - z).max(axis=0), np.abs(e - z), np.abs(p - z).max(axis=0), np.abs(q - y[tie]).max(axis=0)])
+        moves = rho / weight * np.maximum(np.abs(z - before), np.abs(y - y_before)[tie])
+        most = np.zeros((2, groups))
+        np.maximum.at(most[0], group, apart)
+        np.maximum.at(most[1], group, moves)
+        out[here] = z
+        keep = ((most[0] > settled) | (most[1] > 10 * settled))[group]
+        # the step size follows the slower of the two
+        scale = np.where(most[0] > 10 * most[1], 2.0, np.where(most[1] > 10 * most[0], 0.5, 1.0))[group]
+        scale = np.clip(rho * scale, 1e-3, 1e3) / rho
+        state = {"z": z, "y": y[tie], "rho": rho * scale, "u": u / scale, "ux": ux / scale, "up": up / scale, "uq": uq / scale}
+        return z, here[keep], {x: a[..., keep] for x, a in state.items()}
+
+
+CANDIDATES = T.StructType(
+    [T.StructField("evidence", T.LongType()), T.StructField("product_id", T.StringType()), T.StructField("weight", T.LongType()), T.StructField("tie", T.LongType()), T.StructField("features", T.ArrayType(T.DoubleType()))]
+)
+SOLVED = T.StructType([T.StructField("pattern", T.LongType()), T.StructField("product_id", T.StringType()), T.StructField("confidence", T.DoubleType())])
 
 
-SOLVED = T.StructType([T.StructField("evidence", T.LongType()), T.StructField("product_id", T.StringType()), T.StructField("confidence", T.DoubleType())])
+def _meet(near: DataFrame, far: DataFrame) -> DataFrame:
+    """(evidence, product_id) that share a key; a key of more than HOT rows is spread over tasks by a salt.
+
+    There is at most one hot key for HOT rows, so Catalyst broadcasts their list under its size threshold.
+    """
+    hot = near.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("k", F.ceil(F.col("n") / HOT).cast("int").alias("salts"))
+    left = near.join(hot, "k", "left").withColumn("s", F.coalesce(F.pmod(F.xxhash64("evidence"), F.col("salts")).cast("int"), F.lit(0)))
+    right = far.join(hot, "k", "left").withColumn("s", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+    return left.select("k", "s", "evidence").join(right.select("k", "s", "product_id"), ["k", "s"]).select("evidence", "product_id").distinct()
 
 
 def matches(listings: DataFrame, products: DataFrame, geography: DataFrame) -> DataFrame:
     """(listing_id, product_id, confidence): every candidate with its value; the accepted are those of ACCEPT or more.
 
     Listings that say the same are one body of evidence with a weight, so copies, however many, cost one row. Evidence
-    of one market, word, strength and form is tied together and lies in one task, in parts of PART at most; the rest
-    spreads by hash.
+    of one market, word, strength and form is tied together. Bodies of evidence of one tie that have the same
+    products at the same similarities are interchangeable in the convex problem, so they have the same values and are
+    solved as one of their added weight: a tie of any number of listings has as many rows as there are different
+    similarities. A tie is solved whole, in one task, and the tasks stream from tie to tie.
     """
     said = ["market", "words", "strength", "form", "substances", "licence", "holder"]
     of_listings = cut(medicines_of_listings(listings).withColumn("evidence", F.xxhash64(*said)))
     evidence = cut(of_listings.groupBy("evidence").agg(F.count("*").alias("weight"), *[F.first(c).alias(c) for c in said]))
     of_products = cut(medicines_of_products(products, geography))
-    near = _keys(evidence.select(F.col("evidence").cast("string").alias("id"), *said), False).withColumnRenamed("id", "evidence")
-    met = near.join(_keys(of_products, True).withColumnRenamed("id", "product_id"), "k").select(F.col("evidence").cast("long").alias("evidence"), "product_id").distinct()
+    near = cut(_keys(evidence.select(F.col("evidence").cast("string").alias("id"), *said), False).select("k", F.col("id").cast("long").alias("evidence")))
+    met = _meet(near, _keys(of_products, True).withColumnRenamed("id", "product_id"))
     right = of_products.select(F.col("id").alias("product_id"), *[F.col(c).alias(f"p_{c}") for c in said])
-    full = met.join(evidence, "evidence").join(right, "product_id")
     tie = F.xxhash64("market", F.array_join("words", " "), "strength", "form")
-    tied = full.select("evidence", "product_id", F.col("weight").cast("double").alias("weight"), tie.alias("tie"), *said, *[f"p_{c}" for c in said])
-    parts = evidence.groupBy(tie.alias("tie")).agg(F.ceil(F.count("*") / F.lit(PART)).alias("parts"))
-    spread = tied.join(parts, "tie").withColumn("tie", F.xxhash64("tie", F.pmod(F.xxhash64("evidence"), F.col("parts")))).select(*tied.columns).repartition("tie")
+    full = met.join(evidence, "evidence").join(right, "product_id").select("evidence", "product_id", "weight", tie.alias("tie"), *said, *[f"p_{c}" for c in said])
 
-    def rows(source):
-        evidence_no: dict[int, int] = defaultdict(lambda: len(evidence_no))
-        tie_no: dict[tuple, int] = defaultdict(lambda: len(tie_no))
-        who, listing, ties, weights, features = [], [], [], [], []
+    def alike(source):
         for e, p, weight, t, *rest in source:
             f = likeness(tuple(rest[:7]), tuple(rest[7:]))
-            if not markets_agree(rest[0], rest[7], f[4] == 1.0):
-                continue
-            if f[0] < 0.6 and f[4] < 1.0:
-                continue
-            who.append((e, p))
-            listing.append(evidence_no[e])
-            ties.append(tie_no[t, p])
-            weights.append(min(weight, 8.0))
-            features.append(f)
-        if who:
-            solved = HingeField(np.array(listing), np.array(ties), np.array(weights), np.array(features)).solve()
-            for (e, p), x in zip(who, solved):
-                yield e, p, float(x)
-
-    solved = map_rows(spread, SOLVED, rows)
-    back = of_listings.select(F.col("id").cast("long").alias("listing_id"), "evidence")
-    return back.join(solved, "evidence").select("listing_id", "product_id", "confidence")
+            if markets_agree(rest[0], rest[7], f[4] == 1.0) and (f[0] >= 0.6 or f[4] == 1.0):
+                yield e, p, weight, t, f
+
+    candidates = cut(map_rows(full, CANDIDATES, alike))
+    # sums of hashes stand for the set of a body's candidates: added up before the shuffle, and nothing is collected
+    mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), "product_id", "features").cast("decimal(38,0)"))
+    bodies = candidates.groupBy("evidence").agg(F.first("tie").alias("tie"), F.first("weight").alias("weight"), mark(1).alias("m1"), mark(2).alias("m2"))
+    bodies = cut(bodies.select("evidence", "weight", F.xxhash64("tie", F.col("m1").cast("string"), F.col("m2").cast("string")).alias("pattern")))
+    patterns = bodies.groupBy("pattern").agg(F.min("evidence").alias("evidence"), F.sum("weight").cast("double").alias("pattern_weight"))
+    tied = candidates.join(patterns, "evidence").select("tie", "pattern", "product_id", "pattern_weight", "features").repartition("tie").sortWithinPartitions("tie", "pattern", "product_id")
+    solved = map_rows(tied, SOLVED, _solve_ties)
+    back = of_listings.select(F.col("id").cast("long").alias("listing_id"), "evidence").join(bodies.select("evidence", "pattern"), "evidence")
+    return back.join(solved, "pattern").select("listing_id", "product_id", "confidence")
+
+
+def _solve_ties(source):
+    """Whole ties, in order, a batch at a time; ties that put the same problem are solved once a batch."""
+    held: list[tuple[tuple, list]] = []
+    size, now, rows = 0, None, []
+
+    def close():
+        listing: dict = {}
+        product: dict = {}
+        problem = tuple((listing.setdefault(c, len(listing)), product.setdefault(p, len(product)), w, *f) for c, p, w, f in rows)
+        if len(listing) == 1:  # one body of evidence: its weight does not matter
+            problem = tuple((a, b, 1.0, *f) for a, b, _, *f in problem)
+        held.append((problem, [(c, p) for c, p, _, _ in rows]))
+
+    def flush():
+        known = {problem: None for problem, _ in held}
+        arrays, spans, at, seen_listings, seen_ties = [], {}, 0, 0, 0
+        for g, problem in enumerate(known):
+            a = np.array(problem)
+            arrays.append(np.column_stack([a[:, 0] + seen_listings, a[:, 1] + seen_ties, np.full(len(a), g), a[:, 2:]]))
+            seen_listings, seen_ties = seen_listings + int(a[:, 0].max()) + 1, seen_ties + int(a[:, 1].max()) + 1
+            spans[problem] = at, at + len(a)
+            at += len(a)
+        a = np.concatenate(arrays)
+        x = HingeField(a[:, 0].astype(np.int64), a[:, 1].astype(np.int64), a[:, 3], a[:, 4:], a[:, 2].astype(np.int64)).solve()
+        for problem, names in held:
+            lo, hi = spans[problem]
+            for (c, p), value in zip(names, x[lo:hi].tolist()):
+                yield c, p, value
+
+    for tie, pattern, product, weight, features in source:
+        if tie != now and rows:
+            close()
+            size += len(rows)
+            rows = []
+            if size >= BATCH:
+                yield from flush()
+                held, size = [], 0
+        now = tie
+        rows.append((pattern, product, weight, features))
+    if rows:
+        close()
+        yield from flush()
 
 
 def linked(listings: DataFrame, products: DataFrame, geography: DataFrame) -> DataFrame:
