@@ -26,7 +26,7 @@ def star_clusters(edges: DataFrame, rank: DataFrame, max_rounds: int = 60) -> Da
     order = lambda p: F.struct(F.coalesce(F.col(f"{p}grade"), F.lit(0)).alias("g"), F.col(f"{p}degree").alias("d"), (-F.col(f"{p}id")).alias("i"))
     node = degree.join(rank.select("id", "grade"), "id", "left").select("id", order("").alias("o"))
     open_edges = cut(
-        both.join(node.select(F.col("id").alias("a"), F.col("o").alias("oa")), "a").join(node.select(F.col("id").alias("b"), F.col("o").alias("ob")), "b")
+        both.join(node.select(F.col("id").alias("a"), F.col("o").alias("oa")).hint("merge"), "a").join(node.select(F.col("id").alias("b"), F.col("o").alias("ob")).hint("merge"), "b")
     )
     done = None
     for _ in range(max_rounds):
@@ -81,4 +81,4 @@ def pairs_within(members: DataFrame, cluster: str, value: str, a: str, b: str) -
     salts = 8
     left = members.select(F.col(cluster).alias("_c"), F.col(value).alias(a), F.pmod(F.xxhash64(value), F.lit(salts)).alias("_s"))
     right = members.select(F.col(cluster).alias("_c"), F.col(value).alias(b)).withColumn("_s", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(salts)])))
-    return left.join(right, ["_c", "_s"]).where(F.col(a) < F.col(b)).select(a, b)
+    return left.join(right.hint("merge"), ["_c", "_s"]).where(F.col(a) < F.col(b)).select(a, b)

@@ -7,8 +7,10 @@ read off the collision curve), candidates are verified by Monge-Elkan similarity
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
+import zlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,22 +18,25 @@ from pyspark.sql import types as T
 
 from quillstone.functions.arrowio import map_rows
 from quillstone.llm.graph import pairs_within, star_clusters
-from quillstone.llm.similarity import MinHasher, edit_distance, monge_elkan, padded_qgrams, token_similarity, tune_bands
+from quillstone.llm.similarity import MinHasher, edit_distance, padded_qgrams, token_similarity, tune_bands
 from quillstone.session import cut
 
 Q = 3
 #: Two names one typing slip apart have a q-gram similarity of about this or more; so many of such pairs must meet.
 SLIP_SIMILARITY, RECALL = 0.5, 0.99
-#: Monge-Elkan similarity of the distinctive words from which two names are the same.
-SAME = 0.84
+#: Share of the information in the distinctive words (each weighed by how rare it is) that must have a counterpart.
+SAME = 0.75
+#: Cores of at most so many letters also meet by keys with one letter left out: their q-grams are too few for the curve.
+SHORT = 12
 
 # Lines of business with the ways in which they are shortened.
 BUSINESS = {
-    "laboratories": "laboratories laboratory labs lab labors labor laboratoires laboratorios",
+    "laboratories": "laboratories laboratory labs lab labors labor laboratoires laboratoire laboratorios laboratorio laboratori laboratorium",
+    "biotechnology": "biotechnology biotechnologies biotech biotec",
     "industries": "industries industry inds ind industrial",
     "manufacturing": "manufacturing manufacturers manuf mfg manufacture",
     "therapeutics": "therapeutics therapeutic therap tx",
-    "pharmaceuticals": "pharmaceuticals pharmaceutical pharma pharm pharms",
+    "pharmaceuticals": "pharmaceuticals pharmaceutical pharma pharm pharms pharmaceutics farmaceutica farmaceutici pharmaceutiques pharmazeutika",
     "international": "international intl internat int'l",
     "lifesciences": "lifesciences lifescience lifesci",
     "healthcare": "healthcare hlthcare",
@@ -45,7 +50,8 @@ BUSINESS = {
 # Legal forms with their spellings, blanks and dots removed.
 LEGAL = {
     "ltd": "ltd limited", "gmbh": "gmbh", "inc": "inc incorporated", "co": "co company", "ag": "ag aktiengesellschaft",
-    "llc": "llc", "sa": "sa sociedadanonima societeanonyme", "bv": "bv", "plc": "plc publiclimitedcompany",
+    "llc": "llc", "sa": "sa sociedadanonima societeanonyme", "bv": "bv", "plc": "plc publiclimitedcompany", "corp": "corp corporation", "pvtltd": "pvtltd", "spa": "spa", "nv": "nv",
+    "srl": "srl", "sarl": "sarl", "sas": "sas", "kg": "kg", "ab": "ab", "oy": "oy oyj", "aps": "aps", "as": "as", "kk": "kk", "lp": "lp", "llp": "llp", "se": "se", "kgaa": "kgaa",
     "ptyltd": "ptyltd proprietarylimited ptylimited proprietaryltd",
 }
 # Phrases written in several words, joined before the words are looked up.
@@ -53,7 +59,9 @@ PHRASES = [
     (r"\blife[ -]+sci(?:ences?)?\b", "lifesciences"), (r"\b(?:health|hlth)[ -]+care\b", "healthcare"), (r"\bblood[ -]+products?\b", "bloodproducts"),
     (r"\bconsumer[ -]+care\b", "consumercare"), (r"\banimal[ -]+health\b", "animalhealth"), (r"\bpublic limited company\b", "plc"),
     (r"\bsociedad anonima\b", "sa"), (r"\b(?:pty|proprietary) (?:ltd|limited)\b", "ptyltd"), (r"\bl l c\b", "llc"), (r"\bp l c\b", "plc"),
-    (r"\bg m b h\b", "gmbh"), (r"\bs a\b(?! [a-z]\b)", "sa"), (r"\bb v\b", "bv"), (r"\ba g\b", "ag"), (r"\babdul rahman\b", "abdulrahman"),
+    (r"\bg m b h\b", "gmbh"), (r"\bgmbh (?:co|company)(?: kgaa| kg)?\b", "gmbh"), (r"\b(?:pvt|private) (?:ltd|limited)\b", "pvtltd"), (r"\bs p a\b", "spa"), (r"\bs r l\b", "srl"),
+    (r"\bs a r l\b", "sarl"), (r"\bs a s\b", "sas"), (r"\bs a\b(?! [a-z]\b)", "sa"), (r"\bb v\b", "bv"), (r"\bn v\b", "nv"), (r"\ba g\b", "ag"), (r"\bk k\b", "kk"),
+    (r"\b(abd[ue]l|abd[ue]r) (?=[a-z])", r"\1"),
 ]
 # Words around a name that are no part of it.
 TITLES = set("dr prof mr mrs ms mph rph pharmd phd md mah holder m/s messrs the".split())
@@ -72,6 +80,19 @@ GIVEN = {
 _BUSINESS = {v: k for k, words in BUSINESS.items() for v in words.split()}
 _LEGAL = {v: k for k, words in LEGAL.items() for v in words.split()}
 _GIVEN = {v: k for k, words in GIVEN.items() for v in [k, *words.split()]}
+
+
+@functools.lru_cache(100_000)
+def line_of_business(word: str) -> str:
+    """The line of business a word stands for, '' for none: a known spelling, one slip from it (two from eleven letters
+    on), or six letters or more of the beginnings of one line's words only."""
+    if word in _BUSINESS or len(word) < 6:
+        return _BUSINESS.get(word, "")
+    limit = 1 if len(word) < 11 else 2
+    near = {of for known, of in _BUSINESS.items() if len(known) >= 7 and (known.startswith(word) or len(word) >= 7 and edit_distance(word, known, limit) <= limit)}
+    return near.pop() if len(near) == 1 else ""
+
+
 _PHRASES = [(re.compile(p), r) for p, r in PHRASES]
 
 PARTS = T.StructType(
@@ -106,8 +127,8 @@ def take_apart(name: str) -> tuple[str, str, str, str, str]:
             continue
         if w in _LEGAL:
             legal = legal or _LEGAL[w]
-        elif w in _BUSINESS:
-            business.append(_BUSINESS[w])
+        elif line_of_business(w):
+            business.append(line_of_business(w))
         elif w in _GIVEN:
             given = given or _GIVEN[w]
         elif len(w) == 1:
@@ -167,27 +188,75 @@ def candidates(groups: DataFrame, similarity: float = SLIP_SIMILARITY, recall: f
         for (core,) in source:
             for key in hasher.keys(padded_qgrams(core.split(), Q)):
                 yield core, key
+            if 4 <= len(core) <= SHORT:
+                for left_out in {core, *(core[:i] + core[i + 1 :] for i in range(len(core)) if core[i] != " ")}:
+                    yield core, zlib.crc32(left_out.encode()) - (1 << 33)
 
     banded = map_rows(cores, T.StructType([T.StructField("core", T.StringType()), T.StructField("band", T.LongType())]), rows)
     salts = 4
     left = banded.select("band", F.col("core").alias("core_a"), F.pmod(F.xxhash64("core"), F.lit(salts)).alias("s"))
     right = banded.select("band", F.col("core").alias("core_b"), F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(salts)])).alias("s"))
-    return left.join(right, ["band", "s"]).where(F.col("core_a") < F.col("core_b")).select("core_a", "core_b").distinct()
+    return left.join(right.hint("merge"), ["band", "s"]).where(F.col("core_a") < F.col("core_b")).select("core_a", "core_b").distinct()
+
+
+def information(groups: DataFrame) -> DataFrame:
+    """(core, weights): how much each word of a core tells, in the words' order: the logarithm of its rarity among all cores."""
+    cores = groups.select("core").distinct()
+    words = cores.select("core", F.posexplode(F.split("core", " ")).alias("at", "word"))
+    counts = words.select("core", "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
+    told = words.join(counts.hint("merge"), "word").select("core", "at", F.log1p(F.lit(cores.count()) / F.col("df")).alias("w"))
+    return told.groupBy("core").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "w"))), lambda x: x["w"]).alias("weights"))
+
 
+def _likeness(a: str, b: str) -> float:
+    """As token_similarity; a beginning of four letters or more stands for a word, and short words need their first letter."""
+    s = token_similarity(a, b)
+    if s < 1.0 and min(len(a), len(b)) < 6 and a[:1] != b[:1]:
+        s = 0.0
+    return s or (0.8 if min(len(a), len(b)) >= 4 and (a.startswith(b) or b.startswith(a)) else 0.0)
 
-def similar_cores(pairs: DataFrame, same: float = SAME) -> DataFrame:
-    """Verified pairs of cores with their Monge-Elkan similarity."""
+
+def core_similarity(a: list[str], b: list[str], weights_a: list[float], weights_b: list[float]) -> float:
+    """Monge-Elkan similarity of two cores with weighted words, 0 when they are not the same.
+
+    Each side's words count by their weights. With equally many words each needs a counterpart; with more on one side, the
+    words left over must tell little. An abbreviation alone never ties two names.
+    """
+    def one(x, y, w):
+        best = [max((_likeness(p, q) for q in y), default=0.0) for p in x]
+        return best, sum(s * u for s, u in zip(best, w)) / sum(w)
+
+    best_a, told_a = one(a, b, weights_a)
+    best_b, told_b = one(b, a, weights_b)
+    if len(a) == len(b) and not (all(best_a) and all(best_b)) or max(token_similarity(p, q) for p in a for q in b) == 0.0:
+        return 0.0
+    # one slip in a short word leaves 0.75 of it
+    return min(told_a, told_b) if min(told_a, told_b) >= (SAME if len(a) != len(b) else 0.7) else 0.0
+
+
+def similar_cores(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Verified pairs of cores with their similarity."""
+    weights = information(groups)
+    side = lambda x: weights.select(F.col("core").alias(f"core_{x}"), F.col("weights").alias(f"weights_{x}")).hint("merge")
+    told = pairs.join(side("a"), "core_a").join(side("b"), "core_b").select("core_a", "core_b", "weights_a", "weights_b")
 
     def rows(source):
-        for a, b in source:
-            x, y = a.split(), b.split()
-            if len(x) != len(y):
-                continue
-            w = monge_elkan(x, y, token_similarity)
-            if w >= same and all(max(token_similarity(p, q) for q in y) >= 0.75 for p in x) and all(max(token_similarity(p, q) for q in x) >= 0.75 for p in y):
+        for a, b, u, v in source:
+            w = core_similarity(a.split(" "), b.split(" "), u, v)
+            if w > 0:
                 yield a, b, w
 
-    return map_rows(pairs, T.StructType([T.StructField("core_a", T.StringType()), T.StructField("core_b", T.StringType()), T.StructField("w", T.DoubleType())]), rows)
+    return map_rows(told, T.StructType([T.StructField("core_a", T.StringType()), T.StructField("core_b", T.StringType()), T.StructField("w", T.DoubleType())]), rows)
+
+
+def initials(groups: DataFrame) -> DataFrame:
+    """(a, b, w) between a name of two plain words, which may be a person of a rare given name, and the same surname
+    with only the initial of the other word."""
+    plain = groups.where("kind = 'company' and business = '' and legal = ''").withColumn("words", F.split("core", " ")).where(F.size("words") == 2)
+    either = F.array(*[F.struct(F.col("words")[i].alias("core"), F.substring(F.col("words")[1 - i], 1, 1).alias("given")) for i in (0, 1)])
+    full = plain.select(F.col("id").alias("x"), F.explode(either).alias("e")).select("x", "e.core", "e.given")
+    short = groups.where("kind = 'person' and length(given) = 1").select(F.col("id").alias("y"), "core", "given")
+    return full.join(short.hint("merge"), ["core", "given"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(0.9).alias("w"))
 
 
 def links(groups: DataFrame) -> DataFrame:
@@ -196,18 +265,19 @@ def links(groups: DataFrame) -> DataFrame:
     Companies: no two different lines of business. Persons: given names agree, an initial standing for any name it
     begins. Equal legal forms and lines of business strengthen a link; a different legal form weakens it.
     """
-    known = cut(similar_cores(candidates(groups)))
+    known = cut(similar_cores(candidates(groups), groups))
     same = groups.select(F.col("core").alias("core_a"), F.col("core").alias("core_b"), F.lit(1.0).alias("w")).distinct()
     core_pairs = known.unionByName(known.select(F.col("core_b").alias("core_a"), F.col("core_a").alias("core_b"), "w")).unionByName(same)
     side = lambda x: groups.select(*[F.col(c).alias(c if c == "kind" else f"{c}_{x}") for c in ("id", "kind", "core", "business", "legal", "given")])
-    met = core_pairs.join(side("a"), "core_a").join(side("b"), ["core_b", "kind"]).where(F.col("id_a") < F.col("id_b"))
+    met = core_pairs.join(side("a").hint("merge"), "core_a").join(side("b").hint("merge"), ["core_b", "kind"]).where(F.col("id_a") < F.col("id_b"))
     agree = lambda c: F.when((F.col(f"{c}_a") == "") | (F.col(f"{c}_b") == ""), 0.0).when(F.col(f"{c}_a") == F.col(f"{c}_b"), 1.0).otherwise(-1.0)
     business, legal = agree("business"), agree("legal")
     initial = F.col("given_a").startswith(F.col("given_b")) & (F.length("given_b") == 1) | F.col("given_b").startswith(F.col("given_a")) & (F.length("given_a") == 1)
     given = F.when(F.col("given_a") == F.col("given_b"), 1.0).when(initial, 0.0).otherwise(-1.0)
     met = met.withColumns({"business": business, "legal": legal, "given": given})
     fits = F.when(F.col("kind") == "person", F.col("given") >= 0).otherwise((F.col("business") >= 0) & ~((F.col("business") < 1) & (F.col("legal") < 0)))
-    return met.where(fits).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), (F.col("w") + 0.1 * F.col("business") + 0.05 * F.col("legal") + 0.1 * F.col("given")).alias("w"))
+    one = met.where(fits).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), (F.col("w") + 0.1 * F.col("business") + 0.05 * F.col("legal") + 0.1 * F.col("given")).alias("w"))
+    return one.unionByName(initials(groups)).groupBy("a", "b").agg(F.max("w").alias("w"))
 
 
 def clusters(products: DataFrame) -> DataFrame:
@@ -220,9 +290,9 @@ def clusters(products: DataFrame) -> DataFrame:
     # complete names become centres, so that a shortened name never ties two companies together
     grade = groups.select("id", (F.when(F.col("kind") == "person", F.when(F.length("given") > 1, 2).otherwise(0)).otherwise(F.when(F.col("business") != "", 2).otherwise(0))).alias("grade"))
     stars = star_clusters(links(groups), grade)
-    of = members.join(stars, "id", "left").select("name", F.coalesce("center", "id").alias("cluster"))
+    of = members.join(stars.hint("merge"), "id", "left").select("name", F.coalesce("center", "id").alias("cluster"))
     size = of.groupBy("cluster").agg((F.count("*") - 1).alias("n_links"))
-    return of.join(size, "cluster").select("name", "cluster", "n_links")
+    return of.join(size.hint("merge"), "cluster").select("name", "cluster", "n_links")
 
 
 def found(products: DataFrame) -> DataFrame:

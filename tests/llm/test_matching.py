@@ -77,6 +77,26 @@ def test_names(spark):
     assert clusters.count() == len(set(everyone)) and clusters.where("n_links < 0").count() == 0
 
 
+ALIKE = [
+    ("Velora Corp", "Velora Corporation"), ("Belgator Pvt Ltd", "Belgator Private Limited"), ("Zumidor S.p.A.", "ZUMIDOR SPA"), ("Rakelin NV", "Rakelin N.V."), ("Ostrafum GmbH & Co KG", "Ostrafum GmbH"),
+    ("Laboratoire Pelimont", "Laboratoires Pelimont"), ("Cadrivex Biotech", "Cadrivex Biotechnology"), ("Nolubran Pharmaceuticals", "Nolubran Pharmaceuticls"), ("Dorugal Ventomir", "D. Ventomir"),
+    ("Werck KGaA", "Werk KGaA"), ("Tsufer Inc", "Tsufre Inc"), ("Hagenbeck Sonderwaren", "Hagenbeck Sonderwarn"),
+]
+UNLIKE = ["Pelorast Biotech", "Mirabel Derm", "Mirabel Onco", "Bayer", "Mayer", "T. Ventomir", "Hagenbeck Feinkost"]
+
+
+def test_names_written_shorter_or_with_slips(spark):
+    """Forms and lines of business of many countries, slips in short names, an initial for a rare given name."""
+    everyone = [n for p in ALIKE for n in p] + UNLIKE
+    assert pairs(names.found(products(spark, everyone))) == within(ALIKE)
+
+
+def test_words_that_tell_little_may_be_left_out(spark):
+    """Sonderwaren stands in most names, so that it does not tell them apart; a rare word does."""
+    firms = [f"{a}{b} Sonderwaren" for a in ("Hage", "Mol", "Zirk", "Pran", "Uld") for b in ("nbeck", "tavio", "umer", "adix", "osker", "ylfint")]
+    assert pairs(names.found(products(spark, [*firms, "Moltavio", "Zirkosker Feinkost"]))) == within([["Moltavio", "Moltavio Sonderwaren"]])
+
+
 def test_names_on_odd_input(spark):
     odd = ["...", "-", "Dr.", "Ltd", "x" * 20_000, "x" * 20_000 + "y", "é", " ", "M/s", None]
     assert names.clusters(products(spark, odd)).count() == len([n for n in odd if n and n.strip(" ")])
@@ -238,6 +258,36 @@ def test_field_against_brute_force():
     assert x[0] + x[1] <= 1.002 and x[2] + x[3] <= 1.002 and energy(x) <= best + 0.01
 
 
+def test_field_settles_as_shipped():
+    """The decisions at the shipped residual are those of a hundred times smaller one."""
+    import numpy as np
+
+    rng, differ, n = np.random.default_rng(1), 0, 60
+    for _ in range(4):
+        listing = np.sort(rng.integers(0, 25, n))
+        features = rng.choice([-1, 0, 0.3, 0.7, 0.85, 0.9, 1.0, 1.0, 1.0], (n, 6))
+        features[:, 0] = rng.uniform(0.6, 1, n)
+        field = linkage.HingeField(listing, rng.integers(0, 12, n), rng.choice([1.0, 2.0, 5.0, 300.0], 25)[listing], features)
+        a, b = field.solve(), field.solve(settled=linkage.SETTLED / 100)
+        differ += int(((a >= linkage.ACCEPT) != (b >= linkage.ACCEPT)).sum())
+        for i in range(25):
+            assert a[listing == i].sum() <= 1.05
+    assert differ <= 3
+
+
+def test_groups_are_solved_as_if_alone():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    features = rng.uniform(0.5, 1, (12, 6))
+    listing, tie, weight = np.repeat(np.arange(6), 2), np.tile([0, 1], 6) + 2 * np.repeat([0, 1, 2], 4), np.repeat([1.0, 4.0, 1.0, 1.0, 9.0, 2.0], 2)
+    whole = linkage.HingeField(listing, tie, weight, features, np.repeat([0, 1, 2], 4)).solve()
+    for g in range(3):
+        of = slice(4 * g, 4 * g + 4)
+        alone = linkage.HingeField(listing[of] - 2 * g, tie[of] - 2 * g, weight[of], features[of]).solve()
+        assert np.abs(alone - whole[of]).max() <= 0.02
+
+
 def test_columns_clash(spark):
     listings, rows, geography = tables(spark, [(1, "Omfremoxon 75 mg FC tab", None, None, None, None, "AU", "x")])
     clash = listings.withColumn("product_id", F.lit("c")).withColumn("evidence", F.lit(1)).withColumn("k", F.lit(1))
