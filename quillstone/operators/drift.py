@@ -11,6 +11,7 @@ import json
 import math
 import re
 import zlib
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -30,14 +31,19 @@ SAME_CONTENT, ALIKE_CONTENT, ALIKE_NAME = 0.55, 0.3, 0.34
 #: Booleans have too little content to tell two fields apart: their keys must be alike.
 OPAQUE = frozenset({"boolean"})
 
+#: Values whose features a task remembers, and feature counters it holds before it hands them on.
+REMEMBERED, HELD = 50_000, 2_000_000
+
+# The JSON types, by number.
+TYPES = ("null", "string", "number", "boolean", "array", "object")
+
 PROFILE = T.StructType(
     [
         T.StructField("feed", T.StringType()),
         T.StructField("file_seq", T.IntegerType()),
         T.StructField("path", T.StringType()),
-        T.StructField("type", T.StringType()),
-        T.StructField("bucket", T.IntegerType()),
-        T.StructField("n", T.LongType()),
+        T.StructField("types", T.ArrayType(T.LongType())),
+        T.StructField("sketch", T.BinaryType()),
     ]
 )
 
@@ -51,14 +57,15 @@ CHANGES = T.StructType(
     ]
 )
 
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD, _DIGITS, _RUN = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"a(?:\s+a)+")
 
 
 def _features(kind: str, value) -> list[str]:
-    """What a single value adds to its path's sketch: its shape, and the words in it or its magnitude."""
+    """What a single value adds to its path's sketch: its whole shape (runs of words as one) and every word, or its magnitude."""
     if kind == "string":
-        shape = re.sub(r"\d+", "9", _WORD.sub("a", value))
-        return [f"s:{shape[:24]}", *[f"w:{w}" for w in _WORD.findall(value.lower())[:12]], f"l:{len(value).bit_length()}"]
+        words = _WORD.findall(value.lower())
+        shape = _RUN.sub("a", _DIGITS.sub("9", _WORD.sub("a", value)))
+        return [f"s:{shape}", *[f"w:{w}" for w in words], f"l:{len(value).bit_length()}"]
     if kind == "number":
         size = 0 if value == 0 else int(math.floor(math.log10(abs(value)) * 3))
         return [f"n:{size}", f"i:{float(value).is_integer()}", f"d:{len(repr(value))}"]
@@ -67,54 +74,106 @@ def _features(kind: str, value) -> list[str]:
     return []
 
 
-def walk(value, path: str, out: list[tuple[str, str, str]]) -> None:
-    """(path, type, feature) of every key below a parsed record; the feature '' counts the presence itself."""
-    stack = [(value, path)]
+class _Features(dict):
+    """Sketch cells of values, remembered: (number of the path's type, type of the value, value) -> cells."""
+
+    def __missing__(self, key: tuple) -> list[int]:
+        if len(self) > REMEMBERED:
+            self.clear()
+        of, kind, value = key
+        found = [of * SKETCH + zlib.crc32(f.encode("utf-8", "replace")) % SKETCH for f in _features(kind, value)]
+        if not isinstance(value, str) or len(value) < 200:
+            self[key] = found
+        return found
+
+
+def walk(root: dict, paths: dict[str, tuple[list[int], Counter]], features: _Features) -> int:
+    """Adds a parsed record to the types and sketches of its paths; returns how many cells were counted."""
+    stack, n = [(root, "")], 0
     while stack:
         here, at = stack.pop()
         for key, child in here.items():
             p = f"{at}.{key}" if at else key
             kind = json_type(child)
-            out.append((p, kind, ""))
+            number = TYPES.index(kind)
+            cell = paths.get(p)
+            if cell is None:
+                cell = paths[p] = [0] * len(TYPES), Counter()
+            cell[0][number] += 1
             items = [child]
-            while any(isinstance(x, list) for x in items):  # arrays of arrays are entered too
+            while kind == "array" and any(isinstance(x, list) for x in items):  # arrays of arrays are entered too
                 if len(items) == 1 and items[0] is child:
                     p += "[]"
                 items = [y for x in items if isinstance(x, list) for y in x] + [x for x in items if not isinstance(x, list)]
-            base = p[:-2] if kind == "array" else p
             for x in items:
                 if isinstance(x, dict):
                     stack.append((x, p))
-                    out.extend((base, kind, f"k:{k}") for k in x)
+                    found = [number * SKETCH + zlib.crc32(f"k:{k}".encode("utf-8", "replace")) % SKETCH for k in x]
                 elif x is not None:
-                    out.extend((base, kind, f) for f in _features(json_type(x), x))
+                    found = features[number, json_type(x), x]
+                else:
+                    continue
+                cell[1].update(found)
+                n += len(found)
+    return n
+
+
+def pack(sketch: dict[int, int]) -> bytes:
+    """A sketch as bytes: its cells in order, then their counts (the shuffle compresses them)."""
+    cells = sorted(sketch)
+    return array("H", cells).tobytes() + array("Q", [sketch[c] for c in cells]).tobytes()
+
+
+def unpack(payload: bytes) -> dict[int, int]:
+    n = len(payload) // 10
+    cells, counts = array("H"), array("Q")
+    cells.frombytes(payload[: 2 * n])
+    counts.frombytes(payload[2 * n :])
+    return dict(zip(cells, counts))
 
 
 def profile(records: DataFrame) -> DataFrame:
-    """(feed, file_seq, path, type, bucket, n): how often a path has a type in a file, with its content sketch.
+    """(feed, file_seq, path, types, sketch): how often a path has each of TYPES in a file, and its content sketch.
 
-    Bucket -1 counts the presence; the others are hashed features of the values. Counts are added up within each
-    task before the shuffle, so what moves is bounded by files x paths x buckets, whatever the number of records;
-    a feed that holds a third of all rows costs no more in the shuffle than any other.
-    Null, empty and broken JSON count as an empty record.
+    One packed row a file and path: partial ones are made within each task and added up behind one shuffle, a row at
+    a time, so what moves is bounded by tasks x files x paths, whatever the number of records; a feed that holds a
+    third of all rows costs no more in the shuffle than any other. Null, empty and broken JSON count as an empty record.
     """
 
     def rows(source):
-        counts: Counter = Counter()
+        files: dict[tuple, dict] = {}
+        features, n = _Features(), 0
+
+        def handed():
+            for (feed, seq), paths in files.items():
+                for path, (types, sketch) in paths.items():
+                    yield feed, seq, path, types, pack(sketch)
+
         for feed, seq, text in source:
             root = parse_json(text)
             if isinstance(root, dict):
-                found: list[tuple[str, str, str]] = []
-                walk(root, "", found)
-                counts.update((feed, seq, p, k, f) for p, k, f in found)
-        merged: Counter = Counter()
-        for (feed, seq, p, k, f), n in counts.items():
-            merged[feed, seq, p, k, zlib.crc32(f.encode()) % SKETCH if f else -1] += n
-        for key, n in merged.items():
-            yield *key, n
-
-    parts = map_rows(records.select("feed", F.col("file_seq").cast("int"), "json_data"), PROFILE, rows)
-    return parts.groupBy("feed", "file_seq", "path", "type", "bucket").agg(F.sum("n").alias("n"))
+                n += walk(root, files.setdefault((feed, seq), {}), features)
+            if n > HELD:
+                yield from handed()
+                files, n = {}, 0
+        yield from handed()
+
+    def merged(source):
+        now, types, sketch = None, [], Counter()
+        for feed, seq, path, more, payload in source:
+            if (feed, seq, path) != now:
+                if now is not None:
+                    yield *now, types, pack(sketch)
+                now, types, sketch = (feed, seq, path), [0] * len(TYPES), Counter()
+            types = [x + y for x, y in zip(types, more)]
+            for cell, count in unpack(payload).items():
+                sketch[cell] += count
+        if now is not None:
+            yield *now, types, pack(sketch)
+
+    parts = map_rows(records.select("feed", F.col("file_seq").cast("int"), "json_data"), PROFILE, rows, batch=2_000)
+    keys = ["feed", "file_seq", "path"]
+    return map_rows(parts.repartition(*keys).sortWithinPartitions(*keys), PROFILE, merged, batch=2_000)
 
 
 def _tokens(key: str) -> set[str]:
@@ -165,7 +224,7 @@ def compare(old: dict[str, dict], new: dict[str, dict]) -> list[tuple[str, str,
             x, y = types(old[a]), types(new[b])
             if x != y and x and y:
                 continue
-            content, name = cosine(old[a]["sketch"], new[b]["sketch"]), name_similarity(a.rpartition(".")[2], b.rpartition(".")[2])
+            content, name = cosine(unpack(old[a]["sketch"]), unpack(new[b]["sketch"])), name_similarity(a.rpartition(".")[2], b.rpartition(".")[2])
             if not x or not y:
                 content = 0.0
             sure = content >= SAME_CONTENT and not (x <= OPAQUE) or content >= ALIKE_CONTENT and name >= ALIKE_NAME
@@ -181,18 +240,6 @@ def compare(old: dict[str, dict], new: dict[str, dict]) -> list[tuple[str, str,
     return sorted(out)
 
 
-def unions(profiles: DataFrame) -> DataFrame:
-    """One row a file and path: its alternatives with their counts, and the sketch of its content."""
-    return (
-        profiles.groupBy("feed", "file_seq", "path")
-        .agg(
-            F.sort_array(F.collect_set("type")).alias("types"),
-            F.sum(F.when(F.col("bucket") == -1, F.col("n")).otherwise(0)).alias("n"),
-            F.map_from_entries(F.collect_list(F.when(F.col("bucket") >= 0, F.struct(F.concat_ws(":", "type", "bucket").alias("k"), "n")))).alias("sketch"),
-        )
-    )
-
-
 def changes(records: DataFrame) -> DataFrame:
     """The differences between each file and the one before it in its feed.
 
@@ -200,14 +247,14 @@ def changes(records: DataFrame) -> DataFrame:
     in one task. A file without a predecessor gives no row, nor does a record without a file number. Duplicate
     deliveries change counts only, never presence.
     """
-    union = unions(profile(records.where(F.col("file_seq").isNotNull())))
+    union = profile(records.where(F.col("file_seq").isNotNull()))
     both = union.select("feed", F.explode(F.array("file_seq", F.col("file_seq") + 1)).alias("of"), "file_seq", "path", "types", "sketch")
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         of = int(frame["of"].iloc[0])
         sides: dict[int, dict] = defaultdict(dict)
         for seq, path, types, sketch in zip(frame["file_seq"], frame["path"], frame["types"], frame["sketch"]):
-            sides[int(seq)][path] = {"types": set(types), "sketch": dict(sketch)}
+            sides[int(seq)][path] = {"types": {t for t, n in zip(TYPES, types) if n}, "sketch": sketch}
         if of not in sides or of - 1 not in sides:
             return pd.DataFrame(columns=[f.name for f in CHANGES])
         found = compare(sides[of - 1], sides[of])
@@ -227,7 +274,9 @@ def fused_schema(records: DataFrame) -> DataFrame:
     A register is the part of the feed's name before the first hyphen. `canonical` is the type of the common column:
     the only alternative, else string; `branches` names the typed columns a conflicting path is split into.
     """
-    flat = profile(records).where((F.col("bucket") == -1) & (F.col("type") != "null"))
+    names = F.array(*[F.lit(t) for t in TYPES])
+    counts = profile(records).select("feed", "file_seq", "path", F.explode(F.arrays_zip(names.alias("type"), F.col("types").alias("n"))).alias("e")).select("feed", "file_seq", "path", "e.type", "e.n")
+    flat = counts.where((F.col("n") > 0) & (F.col("type") != "null"))
     per = flat.groupBy(F.substring_index("feed", "-", 1).alias("register"), "path", "type").agg(
         F.sum("n").alias("n"), F.min("file_seq").alias("first_seq"), F.max("file_seq").alias("last_seq"), F.countDistinct("feed", "file_seq").alias("n_files")
     )
