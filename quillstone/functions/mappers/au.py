@@ -84,14 +84,18 @@ def extract(df: DataFrame, json_column: str = "json_data") -> DataFrame:
     indications = F.array_distinct(F.flatten(F.transform(parts, lambda c: indication_lines(c["indications"]))))
     excipients = distinct_ci(F.flatten(F.transform(parts, lambda c: F.transform(split_top_level(c["excipient_ingredients"]), C.title))))
     began, revised = F.substring(C.clean(g("start_date")), 1, 10).try_cast("date"), F.substring(C.clean(g("effective_date")), 1, 10).try_cast("date")
-    columns = F.struct(
-        C.clean(g("product_name")).alias("brand_name"), F.lit(None).cast("string").alias("brand_name_local"), F.nullif(F.array_join(bases, " + "), F.lit("")).alias("generic_name"),
-        C.clean(g("sponsor_name")).alias("mah_name"), F.lit(None).cast("string").alias("mah_address"), F.lit(None).cast("string").alias("manufacturer"), F.lit(None).cast("string").alias("manufacturer_address"),
-        C.clean(g("artg_id")).alias("registration_number"), g("artg_category").alias("product_type"), F.lit(None).cast("string").alias("status"),
-        began.alias("approval_date"), revised.alias("label_revision_date"), F.lit(None).cast("string").alias("atc_code"), F.lit(None).cast("boolean").alias("is_generic"), F.lit(None).cast("string").alias("reference_product"),
-        F.array().cast("array<string>").alias("therapeutic_areas"), indications.alias("indications"), C.sorted_set(F.transform("_ingredients", lambda i: i["substance"])).alias("active_ingredients"),
-        C.strengths_text(F.col("_ingredients")).alias("strengths"), C.sorted_set(F.transform("_presentations", lambda p: p["form"])).alias("dosage_forms"), C.sorted_set(F.transform("_presentations", lambda p: p["route"])).alias("routes"),
+    columns = C.flat_columns(
+        brand_name=C.clean(g("product_name")), generic_name=F.nullif(F.array_join(bases, " + "), F.lit("")), mah_name=C.clean(g("sponsor_name")), registration_number=C.clean(g("artg_id")), product_type=g("artg_category"),
+        registration_date=began, approval_date=began, market_authorization_date=began, label_revision_date=revised, source_language=F.lit("en"), indications=indications,
+        active_ingredients=C.sorted_set(F.transform("_ingredients", lambda i: i["substance"])), strengths=C.strengths_text(F.col("_ingredients")),
+        dosage_forms=C.sorted_set(F.transform("_presentations", lambda p: p["form"])), routes=C.sorted_set(F.transform("_presentations", lambda p: p["route"])),
     )
+    made = lambda how, where: F.when(where, F.lit(how)).otherwise(F.lit(C.ABSENT))
+    provenance = C.provenance({
+        "substance.inn": F.lit(C.MAPPED), "substance.modality": made(C.RULE, kind.isNotNull()), "substance.target": F.lit(C.ABSENT), "substance.moa": F.lit(C.ABSENT), "presentations": F.lit(C.MAPPED),
+        "columns.indications": F.lit(C.READ), "columns.label_revision_date": made(C.MAPPED, revised.isNotNull()), "columns.atc_code": F.lit(C.ABSENT), "columns.therapeutic_areas": F.lit(C.ABSENT), "columns.is_generic": F.lit(C.ABSENT),
+        "approval.pathway": F.lit(C.ABSENT), "key_risks": made(C.MAPPED, C.clean(g("warnings")).isNotNull()), "excipients": F.lit(C.MAPPED),
+    })
     null = F.lit(None).cast("string")
     product_data = F.struct(
         F.lit("1").alias("_schema_version"), C.substance_struct(bases, salts, kind).alias("substance"), F.col("_presentations").alias("presentations"),
@@ -101,4 +105,4 @@ def extract(df: DataFrame, json_column: str = "json_data") -> DataFrame:
         F.transform(excipients, lambda e: F.struct(e.alias("name"), null.alias("name_local"), F.lit(None).cast("double").alias("value"), null.alias("unit"))).alias("excipients"),
     )
     ok = F.col("error").isNull()
-    return df.withColumns({"columns": F.when(ok, columns), "product_data": F.when(ok, F.to_json(product_data, {"ignoreNullFields": "false"}))}).drop("_j", "_presentations", "_ingredients")
+    return df.withColumns({"provenance": F.when(ok, provenance), "columns": F.when(ok, columns), "product_data": F.when(ok, F.to_json(product_data, {"ignoreNullFields": "false"}))}).drop("_j", "_presentations", "_ingredients")

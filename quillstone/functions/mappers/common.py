@@ -174,3 +174,27 @@ def strengths_text(ingredients: Column) -> Column:
 
 def sorted_set(items: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(items, lambda x: x.isNotNull())))
+
+
+# The flat columns that every mapper fills, in their order, with their types.
+FLAT = {
+    **dict.fromkeys(["product_name_en", "brand_name", "brand_name_local", "generic_name", "mah_name", "mah_address", "manufacturer", "manufacturer_address", "registration_number", "product_type", "status"], "string"),
+    **dict.fromkeys(["registration_date", "approval_date", "market_authorization_date", "expiry_date", "withdrawal_date", "label_revision_date"], "date"),
+    "atc_code": "string", "is_generic": "boolean", "reference_product": "string", "source_language": "string",
+    **dict.fromkeys(["therapeutic_areas", "indications", "symptoms", "adverse_reactions", "contraindications", "active_ingredients", "strengths", "dosage_forms", "routes"], "array<string>"),
+}
+#: How a field came about: copied from a field of the record, by a rule from such fields, read in prose, or not at all.
+MAPPED, RULE, READ, ABSENT = "mapped", "rule", "read", "absent"
+
+
+def flat_columns(**filled: Column) -> Column:
+    """The struct of all FLAT columns; what a register does not give is null, or an empty array."""
+    if unknown := set(filled) - set(FLAT):
+        raise ValueError(f"no such columns: {sorted(unknown)}")
+    none = lambda kind: (F.array() if kind.startswith("array") else F.lit(None)).cast(kind)
+    return F.struct(*[(filled[c].cast(kind) if c in filled else none(kind)).alias(c) for c, kind in FLAT.items()])
+
+
+def provenance(how: dict[str, Column]) -> Column:
+    """A map from fields to how they came about."""
+    return F.create_map(*[x for key, value in how.items() for x in (F.lit(key), value)])

@@ -23,7 +23,7 @@ AREA_BY_LETTER = {
     "M": "Rheumatology", "N": "Neurology", "P": "Infectious Diseases", "R": "Pulmonology", "S": "Ophthalmology",
 }
 # The register's drug types as product types and as pathways.
-PRODUCT_TYPES = {"Generic": "Generic", "NCE": "Innovator", "Biological": "Biological"}
+PRODUCT_TYPES = {"Generic": "Generic", "NCE": "New Chemical Entity", "Biological": "Biological"}
 PATHWAYS = {"Generic": "generic", "NCE": "innovator"}
 
 
@@ -79,18 +79,24 @@ def extract(df: DataFrame, json_column: str = "json_data") -> DataFrame:
         g("size").alias("per_value"), C.clean(g("size_unit")).alias("per_unit"), g("package_size").alias("pack_size"), F.lower(C.clean(g("package_type"))).alias("pack_unit"),
         form.alias("form"), way.alias("route"), F.col("_ingredients").alias("active_ingredients"),
     )
-    columns = F.struct(
-        C.clean(g("trade_name")).alias("brand_name"), C.clean(g("trade_name_ar")).alias("brand_name_local"), F.nullif(F.array_join(bases, " + "), F.lit("")).alias("generic_name"),
-        C.clean(g("marketing_company")).alias("mah_name"), C.clean(g("marketing_company_country")).alias("mah_address"), makers["names"].alias("manufacturer"), makers["countries"].alias("manufacturer_address"),
-        C.clean(g("registration_number")).alias("registration_number"), label.alias("product_type"), F.when(F.lower(strip(g("authorization_status"))) == "valid", F.lit("Active")).alias("status"),
-        F.lit(None).cast("date").alias("approval_date"), F.lit(None).cast("date").alias("label_revision_date"), atc.alias("atc_code"), (pathway != "innovator").alias("is_generic"), F.lit(None).cast("string").alias("reference_product"),
-        F.filter(F.array(area(atc)), lambda x: x.isNotNull()).alias("therapeutic_areas"), F.array().cast("array<string>").alias("indications"), C.sorted_set(F.transform("_ingredients", lambda i: i["substance"])).alias("active_ingredients"),
-        C.strengths_text(F.col("_ingredients")).alias("strengths"), F.filter(F.array(form), lambda x: x.isNotNull()).alias("dosage_forms"), F.filter(F.array(way), lambda x: x.isNotNull()).alias("routes"),
+    # the register knows only the year of registration, which stands in product_data: the date columns stay null
+    columns = C.flat_columns(
+        brand_name=C.clean(g("trade_name")), brand_name_local=C.clean(g("trade_name_ar")), generic_name=F.nullif(F.array_join(bases, " + "), F.lit("")), mah_name=C.clean(g("marketing_company")),
+        mah_address=C.clean(g("marketing_company_country")), manufacturer=makers["names"], manufacturer_address=makers["countries"], registration_number=C.clean(g("registration_number")), product_type=label,
+        status=F.when(F.lower(strip(g("authorization_status"))) == "valid", F.lit("Active")), atc_code=atc, is_generic=pathway != "innovator", source_language=F.lit("en"),
+        therapeutic_areas=F.filter(F.array(area(atc)), lambda x: x.isNotNull()), active_ingredients=C.sorted_set(F.transform("_ingredients", lambda i: i["substance"])), strengths=C.strengths_text(F.col("_ingredients")),
+        dosage_forms=F.filter(F.array(form), lambda x: x.isNotNull()), routes=F.filter(F.array(way), lambda x: x.isNotNull()),
     )
+    made = lambda how, where: F.when(where, F.lit(how)).otherwise(F.lit(C.ABSENT))
+    provenance = C.provenance({
+        "substance.inn": F.lit(C.MAPPED), "substance.modality": F.lit(C.RULE), "substance.target": F.lit(C.ABSENT), "substance.moa": F.lit(C.ABSENT), "presentations": F.lit(C.MAPPED), "approval.pathway": F.lit(C.RULE),
+        "approval.registration_year": made(C.MAPPED, g("register_year").try_cast("int").isNotNull()), "columns.therapeutic_areas": made(C.RULE, area(atc).isNotNull()), "columns.status": made(C.MAPPED, columns["status"].isNotNull()),
+        "columns.approval_date": F.lit(C.ABSENT), "indications": F.lit(C.ABSENT), "key_risks": F.lit(C.ABSENT), "pivotal_evidence": F.lit(C.ABSENT), "excipients": F.lit(C.ABSENT),
+    })
     none = F.array().cast("array<string>")
     product_data = F.struct(
         F.lit("1").alias("_schema_version"), C.substance_struct(bases, salts, kind).alias("substance"), F.array(presentation).alias("presentations"), none.alias("indications"),
         F.struct(pathway.alias("pathway"), label.alias("registration_class"), F.lit(None).cast("boolean").alias("conditional"), F.lit(None).cast("boolean").alias("priority_review"), F.lit(None).cast("string").alias("reference_product"), g("register_year").try_cast("int").alias("registration_year")).alias("approval"),
         none.alias("pivotal_evidence"), none.alias("key_risks"), none.alias("excipients"),
     )
-    return df.withColumns({"columns": columns, "product_data": F.to_json(product_data, {"ignoreNullFields": "false"})}).drop("_j", "_ingredients")
+    return df.withColumns({"provenance": provenance, "columns": columns, "product_data": F.to_json(product_data, {"ignoreNullFields": "false"})}).drop("_j", "_ingredients")

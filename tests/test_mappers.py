@@ -178,3 +178,33 @@ def test_au_other_shape(spark):
 
 def test_pack_sizes_plural_needs_a_word(spark):
     assert [tuple(p) for p in one(spark, au.pack_sizes(F.lit("56s, box of 5, pack of 12, 28 patches, 3 vials")))] == [(12.0, None), (3.0, "vial")]
+
+
+RECORDS = {
+    "sa": {"drug_type": "NCE", "trade_name": "Omfrem", "scientific_name": "X", "register_year": "1999", "authorization_status": "Valid"},
+    "au": {"artg_id": "7", "product_name": "Omfrem", "artg_category": "Registered", "start_date": "2001-02-03", "effective_date": "2010-05-06T00:00:00", "components": [{"active_ingredients": "X"}]},
+    "us": {"application_number": "NDA1", "application_type_code": "NDA", "products": [{"drug_name": "Omfrem", "marketing_status": "Prescription"}], "approval_history": {"original_approvals": [{"submission": "ORIG-1", "action_date": "2001-02-03"}]}},
+}
+
+
+@pytest.mark.parametrize("register", ["sa", "au", "us"])
+def test_every_mapper_fills_all_columns_and_says_how(spark, register):
+    import importlib
+
+    module = importlib.import_module(f"quillstone.functions.mappers.{register}")
+    df = spark.createDataFrame([(json.dumps(RECORDS[register]),), (None,)], "json_data string")
+    row, nothing = module.extract(df).select("columns", "provenance").collect()
+    assert row["columns"].__fields__ == list(common.FLAT) and len(common.FLAT) == 30
+    assert row["columns"]["brand_name"] == "Omfrem" and row["columns"]["source_language"] == "en" and row["columns"]["symptoms"] == [] and row["columns"]["expiry_date"] is None
+    dates = {str(row["columns"][c]) for c in ("registration_date", "approval_date", "market_authorization_date")}
+    assert dates == ({"None"} if register == "sa" else {"2001-02-03"})
+    assert register != "sa" or row["columns"]["product_type"] == "New Chemical Entity" and row["provenance"]["approval.registration_year"] == "mapped"
+    assert row["provenance"]["presentations"] == "mapped" and set(row["provenance"].values()) <= {"mapped", "rule", "read", "absent"}
+    assert nothing["columns"] is None or nothing["columns"]["brand_name"] is None
+
+
+def test_key_risks(spark):
+    rows = [("WARNING: LIVER TOXICITY AND/OR DEATH", "5.1 Hypersensitivity Reactions Patients may react. 5.2 Liver Toxicity 5.3 Use In Pregnancy", None), (None, None, None), ("", "9.9 Pain", "x" * 50_000)]
+    df = spark.createDataFrame(rows, "b string, w string, o string")
+    got = [r[0] for r in df.select(us.key_risks(F.col("b"), F.col("w"), F.col("o"))).collect()]
+    assert got == [["Liver Toxicity And/Or Death", "Hypersensitivity Reactions", "Use In Pregnancy"], [], []]
