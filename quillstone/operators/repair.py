@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Callable
+from typing import Protocol
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quillstone.functions.arrowio import map_rows
+from quillstone.functions.jsonx import parse_reply
 from quillstone.functions.text import distinct_ci
 
 PRESENTATIONS = (
@@ -74,3 +82,70 @@ def checked_indications(raw: Column, returned: Column) -> Column:
     kept = distinct_ci(returned)
     fine = (F.size(returned) > 0) & (norm(F.coalesce(raw, F.lit(""))) != "") & F.forall(kept, lambda x: norm(raw).contains(norm(x)))
     return F.when(fine, kept)
+
+
+class Repairer(Protocol):
+    """Derives the two fields anew from a record and its stored document; answers with JSON text, may raise."""
+
+    def repair(self, record: str, document: str) -> str: ...
+
+
+class OfflineRepairer:
+    """A deterministic repairer that needs no model: the stored presentation once for each pack size that the record lists."""
+
+    def repair(self, record: str, document: str) -> str:
+        component = json.loads(record)["components"][0]
+        first = json.loads(document)["presentations"][0]
+        sizes = [m.groups() for part in str(component["pack_size"]).split(",") if (m := re.fullmatch(r"\s*(?:pack of )?(\d+)\s*([a-z]*)\s*", part, re.I))]
+        lines = [x.strip(" .-") for x in str(component.get("indications") or "").splitlines()]
+        return json.dumps({"presentations": [first | {"pack_size": int(n), "pack_unit": unit.lower() or first.get("pack_unit")} for n, unit in sizes], "indications": [x for x in lines if x]})
+
+
+REPLIES = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "json_data", "product_data", "reply", "error")])
+REPAIRED = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "product_data", "error")])
+
+
+def repaired(products: DataFrame, make_repairer: Callable[[], Repairer] = OfflineRepairer) -> DataFrame:
+    """(id, product_data, error): the new documents of the candidates of one component, product_data null where nothing may be stored.
+
+    Each field is checked by itself (checked_presentations, checked_indications) and replaced only where its check
+    passes; a failed call, an unreadable reply and two failed checks are errors, never a failed task. Feed the rows to
+    `tables.update` on id.
+    """
+    chosen = candidates(products).where("n_components = 1").select("id")
+    rows_of = products.join(chosen, "id", "left_semi").select(F.col("id").cast("string").alias("id"), "json_data", "product_data")
+
+    def ask(source):
+        repairer = make_repairer()
+        for key, record, document in source:
+            try:
+                yield key, record, document, repairer.repair(record, document), None
+            except Exception as e:  # noqa: BLE001 - a failed call is data
+                yield key, record, document, None, str(e)[:2000] or type(e).__name__
+
+    answered = map_rows(rows_of, REPLIES, ask, batch=500).withColumn("reply", parse_reply(F.col("reply")))
+    presented = lambda c: F.from_json(F.get_json_object(c, "$.presentations"), PRESENTATIONS)
+    said = F.from_json(F.get_json_object("json_data", "$.components"), COMPONENTS)[0]["indications"]
+    packs = checked_presentations(presented(F.col("product_data")), presented(F.col("reply")))
+    uses = checked_indications(said, F.from_json(F.get_json_object("reply", "$.indications"), "array<string>"))
+    checked = answered.select("id", "product_data", F.to_json(packs, {"ignoreNullFields": "false"}).alias("packs"), F.to_json(uses).alias("uses"), "reply", "error")
+
+    def put(source):
+        for key, document, packs, uses, reply, error in source:
+            if error or reply is None:
+                yield key, None, error or "unreadable reply"
+                continue
+            if packs is None and uses is None:
+                yield key, None, "no field passed its check"
+                continue
+            new = json.loads(document)
+            if packs is not None:
+                opened = [p | {"active_ingredients": json.loads(p["active_ingredients"] or "null"), "pack_size": json.loads(p["pack_size"]) if (p["pack_size"] or "").isdigit() else p["pack_size"]} for p in json.loads(packs)]
+                new["presentations"] = opened
+            if uses is not None:
+                known = {i.get("condition"): i for i in new.get("indications") or [] if isinstance(i, dict)}
+                empty = dict.fromkeys(("condition", "population", "line_of_therapy", "biomarker", "approval_date"))
+                new["indications"] = [known.get(x) or empty | {"condition": x} for x in json.loads(uses)]
+            yield key, json.dumps(new, ensure_ascii=False), None
+
+    return map_rows(checked, REPAIRED, put, batch=500)

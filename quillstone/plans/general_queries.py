@@ -31,7 +31,7 @@ def queries() -> dict[str, Query]:
         "p3_converted": _on("products", lambda df: quantities.converted(df).groupBy("quantity", "common_unit", "how").agg(F.count("*").alias("n"))),
         "p3_hidden_units": _on("products", quantities.hidden),
         "p4_found": _on("drug_predicate_raw_records", drift.found),
-        "p4_fused_schema": _on("drug_predicate_raw_records", drift.fused_schema),
+        "p4_fused_schema": _on("drug_predicate_raw_records", lambda df: drift.fused_schema(df).withColumns({c: F.col(c).cast("long") for c in ("first_seq", "last_seq")} | {c: F.array_join(c, ",") for c in ("alternatives", "branches")})),
         "p4_unified": _on("drug_predicate_raw_records", drift.unify),
         "p7_found": _on("products", nested.found),
         "p7_presentations": _on("products", _child("presentations[]", ["form", "route", "per_value", "per_unit", "pack_size", "pack_unit"])),
@@ -80,13 +80,23 @@ keyed AS (SELECT *, trim(tail, ' .') AS word, CASE WHEN power THEN []::DECIMAL(3
 final AS (SELECT k.*, n.common_unit, n.factor, list_reduce(list_prepend(1::DECIMAL(38,12), counts), lambda a, b: (a::DECIMAL(19,6) * b::DECIMAL(19,6))::DECIMAL(38,12)) AS times FROM keyed k JOIN units n ON n.word = k.word)
 SELECT id AS product_id, i::BIGINT AS presentation_no, j::BIGINT AS ingredient_no, quantity, common_unit,
   round((coalesce(amount, 1)::DECIMAL(19,6) * times::DECIMAL(19,6))::DOUBLE * factor::DOUBLE * 1000)::BIGINT AS milli_value
-FROM final WHERE NOT (is_number AND u IS NOT DISTINCT FROM common_unit)"""
+FROM final"""
 
 
 def oracle_sql() -> dict[str, str]:
     """p3_found by SQL holds while no unit is missing; problem 4's renamings are beyond SQL and tested on fixtures."""
     return {
-        "p3_found": _quantity_sql(),
+        "p3_found": f"{_quantity_sql()} WHERE NOT (is_number AND u IS NOT DISTINCT FROM common_unit)",
+        "p3_converted": f"SELECT quantity, common_unit, how, count(*) AS n FROM ({_quantity_sql()}) GROUP BY ALL".replace(
+            "\nFROM final", ", CASE WHEN is_number AND u IS NOT DISTINCT FROM common_unit THEN 'recorded' ELSE 'read' END AS how\nFROM final"
+        ),
+        "p4_fused_schema": r"""
+WITH t AS (SELECT split_part(feed, '-', 1) AS register, feed, file_seq, regexp_replace(substr(t.fullkey, 3), '(\[[0-9]+\])+', '[]', 'g') AS path,
+    CASE t.type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS type
+  FROM drug_predicate_raw_records r, json_tree(r.json_data) t WHERE t.type <> 'NULL' AND t.fullkey <> '$' AND t.fullkey NOT LIKE '%]'),
+per AS (SELECT register, path, type, count(*) AS n, min(file_seq) AS first_seq, max(file_seq) AS last_seq FROM t GROUP BY ALL)
+SELECT register, path, string_agg(type, ',' ORDER BY type) AS alternatives, CASE WHEN count(*) = 1 THEN max(type) ELSE 'string' END AS canonical,
+  CASE WHEN count(*) > 1 THEN string_agg('as_' || type, ',' ORDER BY type) ELSE '' END AS branches, sum(n)::BIGINT AS n_values, min(first_seq)::BIGINT AS first_seq, max(last_seq)::BIGINT AS last_seq FROM per GROUP BY register, path""",
         "p7_found": _NODES,
         "p7_tables": f"WITH n AS ({_NODES}) SELECT field, regexp_replace(node_path, '\\[[0-9]+\\]', '[]', 'g') AS pattern, count(*) AS n_rows FROM n GROUP BY ALL",
         "p7_presentations": f"""

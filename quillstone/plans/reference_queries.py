@@ -219,7 +219,8 @@ def json_pack_units(t: Catalog) -> DataFrame:
 
 @query("SELECT id, product_data IS NOT NULL AS parsed, length(product_data)::BIGINT AS n FROM products")
 def json_repair(t: Catalog) -> DataFrame:
-    damaged = F.concat(F.lit("Here is the result:\n```json\n"), F.col("product_data"), F.lit("\n```"))
+    # a reply with words around it and a stray comma before its last brace
+    damaged = F.concat(F.lit("Here is the result:\n```json\n"), F.expr("substring(product_data, 1, length(product_data) - 1)"), F.lit(",}\n```"))
     return t.table("products").select("id", jsonx.parse_reply(damaged).isNotNull().alias("parsed"), F.length(jsonx.parse_reply(damaged)).cast("long").alias("n"))
 
 
@@ -282,6 +283,16 @@ def mapper_sa_columns(t: Catalog) -> DataFrame:
     return mapped.select("id", "columns.brand_name", "columns.mah_name", "columns.registration_number", "columns.status", F.try_element_at("columns.routes", F.lit(1)).alias("route"))
 
 
+@query(rf"""
+WITH r AS (SELECT id, json_data AS j FROM products WHERE regulator = 'SFDA' AND json_valid(json_data))
+SELECT id, {_STRIP.format("j->>'$.trade_name'")} AS brand_name, {_STRIP.format("j->>'$.registration_number'")} AS registration_number,
+  CASE j->>'$.drug_type' WHEN 'NCE' THEN 'New Chemical Entity' ELSE j->>'$.drug_type' END AS product_type, CASE WHEN lower({_STRIP.format("j->>'$.authorization_status'")}) = 'valid' THEN 'Active' END AS status,
+  CASE j->>'$.drug_type' WHEN 'Generic' THEN 'true' WHEN 'NCE' THEN 'false' END AS is_generic, 'en' AS source_language, CAST(NULL AS VARCHAR) AS approval_date FROM r""")
+def sa_columns(t: Catalog) -> DataFrame:
+    done = sa.extract(t.table("products").where("regulator = 'SFDA'").select("id", "json_data"))
+    return done.select("id", *[F.col(f"columns.{c}").alias(c) for c in ("brand_name", "registration_number", "product_type", "status", "source_language")], F.col("columns.is_generic").cast("string").alias("is_generic"), F.col("columns.approval_date").cast("string").alias("approval_date"))
+
+
 @query()
 def mapper_registers(t: Catalog) -> DataFrame:
     return pipeline.map_registers(t.table("products"))
@@ -323,6 +334,17 @@ def ordered_fold(t: Catalog) -> DataFrame:
     return fold.reading_order(t.table("product_chunks")).select("product_id", "n_chunks", F.md5("text").alias("digest"))
 
 
+@query()
+def folded_registers(t: Catalog) -> DataFrame:
+    done = pipeline.fold_registers(t.table("products"), t.table("product_chunks").select("product_id", "chunk_index", "chunk_text").distinct())
+    return done.select("id", long("n_excerpts"), "complete", F.md5("product_data").alias("digest"))
+
+
+@query()
+def repaired_rows(t: Catalog) -> DataFrame:
+    return repair.repaired(t.table("products")).select("id", F.md5("product_data").alias("digest"), "error")
+
+
 @query()
 def model_fold(t: Catalog) -> DataFrame:
     products = t.table("products")

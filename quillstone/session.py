@@ -27,12 +27,17 @@ def build_session(app: str = "quillstone", cores: int | None = None, shuffle_par
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints: the one the cluster names in spark.checkpoint.dir.
 
-    Only where neither the setting nor the context has a folder (tests, local runs) is a temporary one made.
+    Only where neither the setting nor the context has a folder is a temporary one made, and only on a local master: a
+    cluster's executors do not share a machine's folder, so there it is an error.
     """
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isDefined():
         return jsc.getCheckpointDir().get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quillstone-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="quillstone-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

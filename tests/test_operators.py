@@ -236,3 +236,56 @@ def test_breaker_and_retries():
     with pytest.raises(providers.RetriesExhausted):
         providers.with_retries(lambda: 1 / 0, attempts=3, wait=2, sleep=waits.append)
     assert waits == [2, 4] and providers.is_context_error("Maximum context length exceeded")
+
+
+# ---- the flow
+
+RECORD = {"artg_id": "1", "components": [{"pack_size": "10, 20 tablets", "indications": "Fever.\nPain."}]}
+STORED = {"presentations": [{"per_value": None, "per_unit": None, "pack_size": None, "pack_unit": None, "form": "tablet", "route": "oral", "active_ingredients": [{"substance": "a"}]}], "indications": [{"condition": "Fever", "population": "adults"}], "kept": 1}
+
+
+class Stranger:
+    def repair(self, record, document):
+        if json.loads(record)["artg_id"] == "2":
+            raise RuntimeError("down")
+        return '{"presentations": [{"form": "cream"}], "indications": ["Gout"]}'
+
+
+def test_repairs_are_checked_and_stored(spark):
+    rows = [("a", json.dumps(RECORD), json.dumps(STORED)), ("b", json.dumps(RECORD | {"artg_id": "2"}), json.dumps(STORED)), ("c", None, None), ("d", json.dumps(RECORD), "{}")]
+    df = spark.createDataFrame(rows, "id string, json_data string, product_data string")
+    done = repair.repaired(df)
+    new = json.loads(tables.update(df, done, "id", ["product_data"]).where("id = 'a'").first()["product_data"])
+    assert [(p["pack_size"], p["pack_unit"], p["active_ingredients"]) for p in new["presentations"]] == [(10, None, [{"substance": "a"}]), (20, "tablets", [{"substance": "a"}])]
+    assert [(i["condition"], i["population"]) for i in new["indications"]] == [("Fever", "adults"), ("Pain", None)] and new["kept"] == 1
+    assert {r["id"]: r["error"] for r in repair.repaired(df, Stranger).collect()} == {"a": "no field passed its check", "b": "down"}
+
+
+def test_documents_are_read_and_cut(spark, tmp_path):
+    folder = tmp_path / "docs"
+    (folder / "x").mkdir(parents=True)
+    (folder / "x" / "one.txt").write_text("First document. " * 40)
+    (folder / "x" / "two.txt").write_text("Second document. " * 40)
+    named = json.dumps({"documents": [{"s3_path": "x/one.txt", "doc_type": "SmPC"}, {"s3_path": "x/two.txt", "doc_type": "PIL"}]})
+    products = spark.createDataFrame([("a", 1, "x/one.txt", named), ("b", 2, "x/one.txt", named), ("c", 2, "x/gone.txt", None), ("d", 2, None, None)], "id string, country_id int, source_url string, json_data string")
+    geography = spark.createDataFrame([(1, "United Kingdom"), (2, "France"), (2, "France")], "id int, country_name string")
+    got = {r["product_id"]: r for r in pipeline.read_texts(products, geography, docs.read_binary(spark, str(folder)), str(folder)).collect()}
+    assert got["a"]["text"].startswith("First") and "Second" in got["a"]["text"] and "Second" not in got["b"]["text"]
+    assert got["c"]["text"] is None and got["c"]["error"] == "no file: x/gone.txt" and "d" not in got
+
+
+def test_registers_without_a_mapper_are_folded(spark):
+    products = spark.createDataFrame([("a", "EMA", '{"substance": {"inn": "x"}}'), ("b", "TGA", "{}"), ("c", None, None)], "id string, regulator string, json_data string")
+    chunks = spark.createDataFrame([("a", 0, "text"), ("b", 0, "text"), ("c", 0, '{"key_risks": ["r"]}')], "product_id string, chunk_index int, chunk_text string")
+    got = {r["id"]: r for r in pipeline.fold_registers(products, chunks).collect()}
+    assert set(got) == {"a", "c"} and got["a"]["n_excerpts"] >= 2 and json.loads(got["c"]["product_data"]) == {"key_risks": ["r"]}
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace as N
+
+    from quillstone.session import ensure_checkpoint_dir
+
+    context = N(_jsc=N(sc=lambda: N(getCheckpointDir=lambda: N(isDefined=lambda: False))), master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="share"):
+        ensure_checkpoint_dir(N(sparkContext=context, conf=N(get=lambda key, other: other)))
