@@ -1,7 +1,7 @@
 """Noise in text from scanned pages (problem 2): noisy-channel correction and repair into paragraphs.
 
-One pass over all texts counts words, word pairs and page furniture; the counts live in sketches of a fixed size, so
-the model that tasks share does not grow with the corpus. A second pass labels the lines of each text and decodes its
+One pass over all texts counts words, word pairs and page furniture; the counts live in sketches whose size follows the
+number of different words and pairs up to a bound, so the model that tasks share does not grow with the corpus beyond it. A second pass labels the lines of each text and decodes its
 body lines: candidate words come from a table of character confusions, and Viterbi picks the most likely line under
 confusion probabilities times corpus bigrams.
 """
@@ -24,8 +24,10 @@ from pyspark.sql import types as T
 from quillstone.functions.arrowio import map_rows
 from quillstone.session import cut
 
-#: Counters in each of the two rows of a sketch, for words and for word pairs: 64 MB together, whatever the corpus.
-CELLS = 1 << 22
+#: Counters at most in each of the two rows of a sketch. A sketch is folded to the smallest power of two that holds eight times the
+#: occupied counters, LEAST_CELLS at least, so that a chance of 1 in 64 adds to a count until CELLS is reached; beyond,
+#: a count is too high by at most 2 n / CELLS with a chance of 3 in 4 (n words or pairs counted). 256 MB together at most.
+CELLS, LEAST_CELLS = 1 << 24, 1 << 16
 SHARDS = 16
 #: Distinct words, pairs or lines that a task counts before it hands them on; with it a worker's memory is bounded.
 HELD = 500_000
@@ -81,14 +83,18 @@ def title_line(line: str) -> bool:
     return line[:1] == "\f" or len(line) < 110 and line[-1:] not in ".,;:" and _DIGIT.search(line) is not None and _AMOUNT_IN.search(line) is not None and TITLE.match(line) is not None
 
 
+def may_be_furniture(line: str) -> bool:
+    return 8 <= len(line) <= 80 and line[-1] not in ".,;"
+
+
 def core(token: str) -> str:
     """A token without outer punctuation, in lower case."""
     return _OUTER.sub("", token).lower()
 
 
-def _cells(word: str) -> tuple[int, int]:
-    h = xxhash.xxh3_64_intdigest(word)
-    return h % CELLS, (h >> 32) % CELLS
+def _cells(word: str, cells: int = CELLS) -> tuple[int, int]:
+    h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    return h % cells, (h >> 32) % cells
 
 
 def written_number(line: str) -> int:
@@ -174,7 +180,7 @@ def learn(products: DataFrame, chunks: DataFrame) -> DataFrame:
                 for i, f in enumerate(furniture):
                     if f:
                         for x in lines[i - 1 : i] + lines[i + 1 : i + 2] if i else lines[1:2]:
-                            if 8 <= len(x) <= 80 and x[-1] not in ".,;":
+                            if may_be_furniture(x):
                                 line_beside[x] += 1
                 tokens = [t for x, f in zip(lines, furniture) if not f for t in x.split()]
             else:
@@ -192,14 +198,13 @@ def learn(products: DataFrame, chunks: DataFrame) -> DataFrame:
         yield "texts", "", None, marked, 0, None
 
     def flush_lines(line_all: Counter, line_beside: Counter) -> Iterator[tuple]:
-        folded: dict[str, list[int]] = {}
-        for x, n in line_beside.items():
+        # how often a line stands anywhere is counted in a sketch of its own, whichever task has seen it beside furniture
+        for shard, part in enumerate(_sketch({x: n for x, n in line_all.items() if may_be_furniture(x)})):
+            if part:
+                yield "lines", "", shard, 0, 0, _pack(part)
+        for x, m in line_beside.items():
             if not title_line(x) and not page_line(x):
-                k = folded.setdefault(fold_line(x), [0, 0])
-                k[0] += line_all[x]
-                k[1] += n
-        for k, (n, m) in folded.items():
-            yield "line", k, None, n, m, None
+                yield "line", f"{fold_line(x)}\n{x}", None, 0, m, None
 
     def flush(words: Counter, pairs: Counter) -> Iterator[tuple]:
         cores = {t: core(t) for t in words}
@@ -222,8 +227,25 @@ def learn(products: DataFrame, chunks: DataFrame) -> DataFrame:
     return cut(map_rows(own.unionByName(docs.toDF("id", "ci", "text")), PASS, rows, batch=2_000))
 
 
+def _fold(parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The two rows of a sketch, one after the other, folded to the power of two that its occupied counters ask for."""
+    occupied = max(sum(int((index < CELLS).sum()) for index, _ in parts), 1)
+    cells = min(max(1 << (8 * occupied - 1).bit_length(), LEAST_CELLS), CELLS)
+    table = np.zeros(2 * cells, np.uint64)
+    for index, n in parts:
+        np.add.at(table, index // CELLS * cells + index % cells, n)
+    return np.minimum(table, 2**32 - 1).astype(np.uint32)
+
+
+def _read(table: np.ndarray, word: str) -> int:
+    """How often a word was counted: the lesser of its two counters."""
+    cells = len(table) // 2
+    a, b = _cells(word, cells)
+    return int(min(table[a], table[cells + b]))
+
+
 class Model:
-    """The shared model: sketches of fixed size, the furniture lines (bounded by FURNITURE_SHARE) and the total."""
+    """The shared model: sketches of bounded size, the furniture lines (bounded by FURNITURE_SHARE) and the total."""
 
     def __init__(self, words: np.ndarray, pairs: np.ndarray, total: int, furniture: frozenset[str]):
         self.words, self.pairs, self.total, self.furniture = words, pairs, max(total, 1), furniture
@@ -235,7 +257,7 @@ class Model:
 
     @classmethod
     def gather(cls, learned: DataFrame) -> "Model":
-        """Merges the partial sketches shard by shard on the executors; the driver gets at most the sketches' fixed size."""
+        """Merges the partial sketches shard by shard on the executors; the driver gets at most the sketches' greatest size."""
         merged = T.StructType([T.StructField("what", T.StringType()), T.StructField("payload", T.BinaryType())])
 
         def merge(frame: pd.DataFrame) -> pd.DataFrame:
@@ -248,23 +270,30 @@ class Model:
             counts = dict(zip((at * SHARDS + shard).tolist(), np.minimum(total[at], 2**32 - 1).astype(np.uint32).tolist()))
             return pd.DataFrame([(frame["what"].iloc[0], _pack(counts))], columns=["what", "payload"])
 
-        arrays = {"word": np.zeros(2 * CELLS, np.uint32), "pair": np.zeros(2 * CELLS, np.uint32)}
+        parts: dict[str, list] = {"word": [], "pair": [], "lines": []}
         for what, payload in learned.where("payload is not null").groupBy("what", "shard").applyInPandas(merge, merged).collect():
-            index, n = _unpack(payload)
-            arrays[what][index] = n
+            parts[what].append(_unpack(payload))
+        arrays = {what: _fold(found) for what, found in parts.items()}
         total, marked = learned.where("what in ('total', 'texts')").agg(F.sum(F.when(F.col("what") == "total", F.col("n"))), F.sum(F.when(F.col("what") == "texts", F.col("n")))).first()
         often = max(3.0, FURNITURE_SHARE * (marked or 0))
-        lines = learned.where("what = 'line'").groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
-        furniture = [r["key"] for r in lines.where((F.col("m") >= often) & (F.col("m") >= F.col("n") * FURNITURE_BESIDE)).collect()]
+        lines = learned.where("what = 'line'").groupBy("key").agg(F.sum("m").alias("m"))
+        everywhere = learned.sparkSession.sparkContext.broadcast(arrays.pop("lines"))
+
+        def counted(source: Iterator[tuple]) -> Iterator[tuple]:
+            for key, m in source:
+                folded, _, line = key.partition("\n")
+                yield folded, _read(everywhere.value, line), m
+
+        known = map_rows(lines.select("key", "m"), T.StructType([T.StructField("key", T.StringType()), T.StructField("n", T.LongType()), T.StructField("m", T.LongType())]), counted)
+        known = known.groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+        furniture = [r["key"] for r in known.where((F.col("m") >= often) & (F.col("m") >= F.col("n") * FURNITURE_BESIDE)).collect()]
         return cls(arrays["word"], arrays["pair"], int(total or 0), frozenset(furniture))
 
     def n(self, word: str) -> int:
         """How often a word (or a pair, its words joined by a blank) was counted."""
         got = self._n.get(word)
         if got is None:
-            a, b = _cells(word)
-            table = self.pairs if " " in word else self.words
-            got = self._n[word] = int(min(table[a], table[CELLS + b]))
+            got = self._n[word] = _read(self.pairs if " " in word else self.words, word)
             if len(self._n) > HELD:
                 self._n.clear()
         return got
