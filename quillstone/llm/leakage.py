@@ -1,8 +1,9 @@
 """Evaluation texts leaking into training text (problem 8): latent semantic retrieval, then alignment.
 
 Passages of documents and of test items are TF-IDF vectors over hashed words. A distributed randomised SVD gives a
-latent space; passages whose cosine with a passage of an item is high are candidates, and a candidate is kept when the
-longest common run of words (with single words altered) covers at least half of the item.
+latent space; passages whose cosine with a passage of an item is high are candidates. Where their longest common
+subsequence allows for it, candidates are aligned, and one is kept when a common run of words (with single words altered)
+covers at least half of the item; a run with more words altered, a paraphrase, is kept when the item's answer follows it.
 """
 
 from __future__ import annotations
@@ -23,13 +24,17 @@ from quillstone.llm.similarity import edit_distance
 #: Hashed words, dimensions of the latent space, words of a block; a passage is two neighbouring blocks.
 DIMS, RANK, BLOCK = 1 << 14, 96, 24
 #: The space is fitted on the passages of at most so many documents, chosen by a hash, and on all items; every passage is searched.
-FIT_DOCUMENTS = 4_000
+FIT_DOCUMENTS, HASH_STEPS = 4_000, 1 << 20
 #: Latent cosine from which a passage is a candidate; its recall against brute force is measured in the tests.
 CANDIDATE = 0.4
 #: Share of an item's words that one run must cover.
 SHARE = 0.5
 #: Share of a run's words that must be the item's: only single words may be altered.
 MATCHED = 0.85
+#: The same for a run that the item's answer follows: a paraphrase.
+PARAPHRASED = 0.7
+#: Words behind a run among which the answer is looked for, besides its own.
+AFTER = 4
 #: Items searched at once.
 ITEM_BLOCK = 4_096
 SEED = 11
@@ -120,7 +125,7 @@ def _passages(ids: np.ndarray, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np
         yield u, w / (np.linalg.norm(w) or 1.0)
 
 
-def latent_space(documents: DataFrame, item_ids: list[np.ndarray], idf: np.ndarray, rank: int = RANK, fit_documents: int = FIT_DOCUMENTS) -> np.ndarray:
+def latent_space(documents: DataFrame, n_documents: int, item_ids: list[np.ndarray], idf: np.ndarray, rank: int = RANK, fit_documents: int = FIT_DOCUMENTS) -> np.ndarray:
     """A DIMS x rank orthonormal basis: the leading right singular vectors of the passages' TF-IDF matrix.
 
     Randomised range finder: every task multiplies its rows A_p with a seeded random matrix and back, A_p' (A_p W); the
@@ -144,7 +149,9 @@ def latent_space(documents: DataFrame, item_ids: list[np.ndarray], idf: np.ndarr
         if n:
             yield n, zlib.compress(total.tobytes(), 1)
 
-    sample = documents.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_documents).select("text").repartition(4)
+    # tasks hand on only what is below a hash threshold: 19 of 20 documents of the bound, so that chance does not pass it
+    below = HASH_STEPS if n_documents <= fit_documents else int(HASH_STEPS * 0.95 * fit_documents / n_documents)
+    sample = documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASH_STEPS)) < below).select("text").repartition(4)
     n, corpus = _add_up(map_rows(sample, ARRAY, rows, batch=1), np.float32, (DIMS, omega.shape[1]))
     m, own = sketch(iter(item_ids))
     both = corpus / max(np.linalg.norm(corpus), 1e-9) * 0.5 + own / max(np.linalg.norm(own), 1e-9)
@@ -215,9 +222,11 @@ class Target:
         return any(self.most_matched(text[i : i + 2 * step]) >= matched for i in range(0, max(len(text) - step, 1), step))
 
 
-def longest_run(item: list[str] | Target, text: list[str]) -> tuple[int, int, int, int, int]:
+def longest_run(item: list[str] | Target, text: list[str], path: list | None = None) -> tuple[int, int, int, int, int]:
     """(item start, item end, text start, text end, words matched) of the best local alignment of two word lists.
 
+    path, if given, receives (place in the text, whether matched) for each of the item's words of the run, in order.
+
     A word in common scores 1, one slip in a word too; an altered, added or dropped word costs 1, so a run goes on
     over single altered words but not over other text.
     """
@@ -240,25 +249,68 @@ def longest_run(item: list[str] | Target, text: list[str]) -> tuple[int, int, in
         here -= step
     j, i = divmod(int(h.argmax()), n + 1)
     end_i, end_j, matched = i, j, 0
+    steps: list[tuple[int, bool]] = []
     while h[j, i] > 0:
         hit = i > 0 and j > 0 and score[j - 1] is not None and score[j - 1][i - 1] == 1
         if i and j and h[j, i] == h[j - 1, i - 1] + (1 if hit else -1):
             matched += hit
             i, j = i - 1, j - 1
+            steps.append((j, hit))
         elif i and h[j, i] == h[j, i - 1] - 1:
             i -= 1
+            steps.append((j, False))
         else:
             j -= 1
+    if path is not None:
+        path += steps[::-1]
     return i, end_i, j, end_j, matched
 
 
+def part_of_run(path: list[tuple[int, bool]], least: int, share: float) -> tuple[int, int] | None:
+    """(first, end) in path of its longest part of at least `least` words of which the given share is matched."""
+    gain = np.concatenate([[0.0], np.cumsum([hit - share for _, hit in path])])
+    for size in range(len(path), max(least, 1) - 1, -1):
+        ahead = np.nonzero(gain[size:] - gain[:-size] >= -1e-9)[0]
+        if len(ahead):
+            return int(ahead[0]), int(ahead[0]) + size
+    return None
+
+
+def accepted_run(target: Target, text: list[str], least: int, answer: list[str]) -> tuple[int, int, int, bool] | None:
+    """(words of the item, text start, text end, whether the answer follows) of a run that shows the leak, or None.
+
+    The best alignment is tried first, or the longest acceptable part of it; where there is none, the text before and
+    behind it is searched on, so that a long poor run hides no good one.
+    """
+    todo = [(0, len(text))]
+    while todo:
+        lo, hi = todo.pop()
+        part = text[lo:hi]
+        told = bool(answer) and answer[0] in part
+        if not target.may_hold(part, (PARAPHRASED if told else MATCHED) * least):
+            continue
+        path: list[tuple[int, bool]] = []
+        _, _, j0, j1, _ = longest_run(target, part, path)
+        for share in (MATCHED, PARAPHRASED) if told else (MATCHED,):
+            span = part_of_run(path, least, share)
+            if span:
+                start, end = lo + path[span[0]][0], lo + path[span[1] - 1][0] + 1
+                after = text[end : end + AFTER + len(answer)]
+                follows = bool(answer) and any(after[k : k + len(answer)] == answer for k in range(AFTER + 1))
+                if share == MATCHED or follows:
+                    return span[1] - span[0], start, end, follows
+        if j1 > j0:
+            todo += [(lo, lo + j0), (lo + j1, hi)]
+    return None
+
+
 class Items:
     """The items of a block with their passages in the latent space."""
 
     def __init__(self, rows: list[tuple], space: np.ndarray, idf: np.ndarray):
         self.ids = [r[0] for r in rows]
         self.words = [words_of(r[1] or "") for r in rows]
-        self.answers = [r[2] for r in rows]
+        self.answers = [words_of(r[2] or "") for r in rows]
         hasher = Hasher()
         of, vectors = [], []
         for k, words in enumerate(self.words):
@@ -306,7 +358,7 @@ def leaks(documents: DataFrame, items: DataFrame, candidate: float = CANDIDATE,
         if not rows:
             continue
         hasher = Hasher()
-        space = latent_space(documents, [hasher.ids(words_of(r[1])) for r in rows], idf)
+        space = latent_space(documents, n, [hasher.ids(words_of(r[1])) for r in rows], idf)
         known = Items(rows, space, idf)
         model = spark.sparkContext.broadcast((known, (space * idf[:, None]).astype(np.float32), (idf**2).astype(np.float32)))
         part = map_rows(documents.select(F.col("doc_id").cast("long"), "text"), LEAKS, _search(model, candidate, share))
@@ -374,15 +426,12 @@ def _batch(held, known: Items, table: np.ndarray, squares: np.ndarray, candidate
         found = None
         least = math.ceil(share * n)
         for lo, hi in stretches:
-            part = words[lo:hi]
-            if not target.may_hold(part, MATCHED * least):
-                continue
-            i0, i1, j0, j1, matched = longest_run(target, part)
-            if i1 - i0 >= least and matched >= MATCHED * (i1 - i0) and (found is None or i1 - i0 > found[0]):
-                found = i1 - i0, lo + j0, lo + j1
+            # the answer is looked for behind the stretch too
+            run = accepted_run(target, words[lo : hi + AFTER + len(known.answers[item])], least, known.answers[item])
+            if run and (found is None or run[0] > found[0]):
+                found = run[0], lo + run[1], run[3]
         if found:
-            after = words[found[2] : found[2] + 4]
-            yield doc, known.ids[item], found[0] / n, max(places.values()), found[1], bool(known.answers[item]) and known.answers[item].lower() in after
+            yield doc, known.ids[item], found[0] / n, max(places.values()), found[1], found[2]
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:

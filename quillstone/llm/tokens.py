@@ -56,7 +56,8 @@ class Tokenizer:
         share a place.
         """
         if self.encoding is None:
-            return np.append(np.arange(0, len(text), 4), len(text)) if text else np.zeros(1, np.int64)
+            # the last token takes the rest, so that there are as many as count says
+            return np.append(4 * np.arange(self.count(text)), len(text)) if text else np.zeros(1, np.int64)
         ends = np.cumsum(self.lengths[np.array(self.encoding.encode_ordinary(text), np.int64)]) if text else np.zeros(0, np.int64)
         at = np.concatenate([np.zeros(1, np.int64), ends])
         if text.isascii():

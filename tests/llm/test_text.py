@@ -64,6 +64,26 @@ def test_clean_text(scanned):
     assert clean["document_text", "noisy"].endswith("for chronic urinary tract infection") and ("document_text", "plain") not in clean
 
 
+def test_verdicts_do_not_depend_on_the_partitions(scanned, monkeypatch):
+    """Lines, words and pairs are counted over all texts, whichever task reads them and however often it hands on."""
+    products, chunks = scanned
+    filler = products.sparkSession.createDataFrame([(f"f{k}", "\n".join(wrapped(prose(900 + k, 80)) + ["Archive copy, not for resale", "Undesirable effects"]), "x", "x") for k in range(30)], PRODUCT)
+    texts = products.unionByName(filler)
+    one = {tuple(r) for r in scans.found(texts.coalesce(1), chunks.coalesce(1)).collect()}
+    monkeypatch.setattr(scans, "HELD", 300)
+    many = {tuple(r) for r in scans.found(texts.repartition(24), chunks.repartition(5)).collect()}
+    assert one == many and any(kind == "header" for *_, kind in one)
+
+
+def test_sketches_follow_the_number_of_words():
+    from collections import Counter
+
+    counts = Counter({f"word{i}": i % 7 + 1 for i in range(30_000)})
+    table = scans._fold([scans._unpack(scans._pack(p)) for p in scans._sketch(counts)])
+    assert len(table) == 2 * (1 << 18) and sum(scans._read(table, w) != n for w, n in counts.items()) < 0.02 * len(counts)
+    assert len(scans._fold([])) == 2 * scans.LEAST_CELLS
+
+
 def test_scans_of_nothing(scanned):
     products, chunks = scanned
     assert scans.found(products.limit(0), chunks.limit(0)).count() == 0
@@ -150,6 +170,24 @@ def test_a_half_with_every_third_word_slipped_leaks(spark):
     assert [tuple(r) for r in leakage.found(documents, spark.createDataFrame([(1, "a", " ".join(item), "B")], ITEM)).collect()] == [(20, 1)]
 
 
+def test_a_long_poor_run_hides_no_good_one():
+    item = [f"i{k}w" for k in range(40)]
+    poor = [w if k % 5 else "zz" for k, w in enumerate(item) if k % 4]  # longer, but too much is altered
+    text = poor + ["other"] * 5 + item[10:31]
+    run = leakage.accepted_run(leakage.Target(item), text, 20, [])
+    assert run is not None and run[0] >= 20 and run[3] is False
+    assert leakage.accepted_run(leakage.Target(item), poor, 20, []) is None
+
+
+def test_the_answer_decides_about_a_paraphrase(spark):
+    item = [f"{w}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i, w in enumerate(prose(78, 60))]
+    told = ["mended" if i % 4 == 3 else w for i, w in enumerate(item)]
+    texts = [" ".join(prose(i, 120)) for i in range(20)] + [" ".join(prose(50, 30) + told + ["Answer:", answer] + prose(51, 30)) for answer in ("Zurolast", "Belmontin")]
+    documents = spark.createDataFrame([(i, t, "s", 0, None) for i, t in enumerate(texts)], DOC)
+    items = spark.createDataFrame([(1, "a", " ".join(item), "zurolast")], ITEM)
+    assert [(r["doc_id"], r["item_id"], r["answer_follows"]) for r in leakage.leaks(documents, items).collect()] == [(20, 1, True)]
+
+
 def test_leaks_of_nothing(leaky):
     documents, items = leaky
     assert leakage.found(documents.limit(0), items).count() == 0 and leakage.found(documents, items.limit(0)).count() == 0
