@@ -224,7 +224,7 @@ RIDGE = 0.1
 #: Candidates solved at once: whole groups are taken together until they hold so many.
 BATCH = 4_000
 #: Rows of a join key that one task reads; a hotter key is spread over tasks.
-HOT = 20_000
+HOT, BROADCAST_KEYS = 20_000, 100_000
 
 FEATURES = ["name", "strength", "form", "substance", "licence", "holder"]
 
@@ -353,12 +353,16 @@ CANDIDATES = T.StructType(
 SOLVED = T.StructType([T.StructField("pattern", T.LongType()), T.StructField("product_id", T.StringType()), T.StructField("confidence", T.DoubleType())])
 
 
-def _meet(near: DataFrame, far: DataFrame) -> DataFrame:
-    """(evidence, product_id) that share a key; a key of more than HOT rows is spread over tasks by a salt.
+def _meet(near: DataFrame, far: DataFrame, bodies: int, hot_rows: int = HOT) -> DataFrame:
+    """(evidence, product_id) that share a key; a key of more than hot_rows rows is spread over tasks by a salt.
 
-    There is at most one hot key for HOT rows, so Catalyst broadcasts their list under its size threshold.
+    Keys are counted only where there are so many bodies of evidence, as fewer cannot crowd a key. The hot ones are few,
+    one for hot_rows rows at most; their list is broadcast up to BROADCAST_KEYS keys and joined by merging beyond.
     """
-    hot = near.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("k", F.ceil(F.col("n") / HOT).cast("int").alias("salts"))
+    if bodies <= hot_rows:
+        return near.join(far, "k").select("evidence", "product_id").distinct()
+    hot = cut(near.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).select("k", F.ceil(F.col("n") / hot_rows).cast("int").alias("salts")))
+    hot = F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot.hint("merge")
     left = near.join(hot, "k", "left").withColumn("s", F.coalesce(F.pmod(F.xxhash64("evidence"), F.col("salts")).cast("int"), F.lit(0)))
     right = far.join(hot, "k", "left").withColumn("s", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
     return left.select("k", "s", "evidence").join(right.select("k", "s", "product_id"), ["k", "s"]).select("evidence", "product_id").distinct()
@@ -378,7 +382,7 @@ def matches(listings: DataFrame, products: DataFrame, geography: DataFrame) -> D
     evidence = cut(of_listings.groupBy("evidence").agg(F.count("*").alias("weight"), *[F.first(c).alias(c) for c in said]))
     of_products = cut(medicines_of_products(products, geography))
     near = cut(_keys(evidence.select(F.col("evidence").cast("string").alias("id"), *said), False).select("k", F.col("id").cast("long").alias("evidence")))
-    met = _meet(near, _keys(of_products, True).withColumnRenamed("id", "product_id"))
+    met = _meet(near, _keys(of_products, True).withColumnRenamed("id", "product_id"), evidence.count())
     right = of_products.select(F.col("id").alias("product_id"), *[F.col(c).alias(f"p_{c}") for c in said])
     tie = F.xxhash64("market", F.array_join("words", " "), "strength", "form")
     full = met.join(evidence, "evidence").join(right, "product_id").select("evidence", "product_id", "weight", tie.alias("tie"), *said, *[f"p_{c}" for c in said])

@@ -258,6 +258,13 @@ def test_field_against_brute_force():
     assert x[0] + x[1] <= 1.002 and x[2] + x[3] <= 1.002 and energy(x) <= best + 0.01
 
 
+def test_hot_keys_meet_the_same(spark):
+    near = spark.createDataFrame([(1, i) for i in range(40)] + [(2, i) for i in range(5)] + [(3, 99)], "k long, evidence long")
+    far = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (2, "c"), (4, "d")], "k long, product_id string")
+    plain = pairs(linkage._meet(near, far, 41))
+    assert pairs(linkage._meet(near, far, 41, hot_rows=7)) == plain and len(plain) == 85
+
+
 def test_field_settles_as_shipped():
     """The decisions at the shipped residual are those of a hundred times smaller one."""
     import numpy as np
