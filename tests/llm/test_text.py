@@ -270,6 +270,23 @@ def test_dynamic_programming_is_optimal():
         assert cost(ends) == pytest.approx(best)
 
 
+def test_no_boundary_that_was_ruled_out_is_better():
+    """The cost over all boundaries of every kind is reached, on texts with few and with many natural ones."""
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    for t in range(60):
+        n, limit = int(rng.integers(50, 1200)), int(rng.integers(20, 200))
+        overlap = int(rng.integers(0, limit // 3)) if t % 3 else 0
+        kind = np.full(n + 1, 5)
+        for k, share in ((4, 0.7), (3, 0.06), (2, rng.choice([0.01, 0.05, 0.1])), (1, 0.01), (0, 0.005)):
+            kind[rng.random(n + 1) < share] = k
+        if n > limit:
+            ends = splitting.split_positions(kind, limit, overlap)
+            cost = lambda places: splitting._cheapest(kind, places, limit, overlap, limit - overlap)[0]
+            assert cost(np.array([0, *ends])) == pytest.approx(cost(np.arange(n + 1)))
+
+
 def test_splitting_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, doc_type string")
     assert splitting.pieces(docs, spark.createDataFrame([("other", 5, 0, "")], LIMITS)).count() == 0
