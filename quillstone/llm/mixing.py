@@ -114,6 +114,7 @@ def units(documents: DataFrame, targets: DataFrame, path: str | None = None) ->
 
     Copies of a text are one unit under its smallest doc_id, so that a copy cannot be used as a further repetition;
     their sources make up its membership pattern. Texts are compared by a 128-bit digest; null and empty texts are no units.
+    Without a vocabulary there is no result (see tokens.default_path).
     """
     wanted = targets.select(source_key(F.col("source")).alias("source")).distinct()
     mine = documents.where(F.col("text").isNotNull() & (F.col("text") != "")).select(F.col("doc_id").cast("long").alias("doc_id"), source_key(F.col("source")).alias("source"), "text")

@@ -1,4 +1,4 @@
-"""Sizes in tokens of a public tokenizer, whose file is a parameter; without one, characters div 4."""
+"""Sizes in tokens of a public tokenizer, whose file is a parameter; characters div 4 only where these are asked for."""
 
 from __future__ import annotations
 
@@ -14,19 +14,26 @@ from quillstone.functions.arrowio import map_rows
 
 #: Vocabulary used unless another path is given; the file stays where it is installed.
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: In place of a path: sizes are characters div 4.
+CHARACTERS = "characters"
 
 # Fixed value: the public pattern by which byte-level BPE vocabularies of this family cut a text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def default_path() -> str | None:
-    """The vocabulary file named by QUILLSTONE_TOKENIZER, else the installed public one, else None."""
+def default_path() -> str:
+    """What QUILLSTONE_TOKENIZER names (a vocabulary file, or CHARACTERS), else the installed public vocabulary.
+
+    A missing vocabulary is an error: sizes in another unit would look like a result.
+    """
     if os.environ.get("QUILLSTONE_TOKENIZER"):
         return os.environ["QUILLSTONE_TOKENIZER"]
     spec = importlib.util.find_spec("public_tokenizers")
     folder = os.path.dirname(spec.origin) if spec and spec.origin else "/opt/tokenizers"
     path = os.path.join(folder, VOCABULARY)
-    return path if os.path.exists(path) else None
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"no vocabulary at {path}: QUILLSTONE_TOKENIZER names another file, or '{CHARACTERS}' for sizes of characters div 4")
+    return path
 
 
 class Tokenizer:
@@ -34,7 +41,7 @@ class Tokenizer:
 
     def __init__(self, path: str | None):
         self.encoding = None
-        if path:
+        if path and path != CHARACTERS:
             import tiktoken
 
             with open(path, "rb") as f:

@@ -331,3 +331,21 @@ def test_mixture_of_nothing(spark):
     targets = spark.createDataFrame([("big", 1.0, 1)], TARGETS)
     assert mixing.mixture(corpus(spark).limit(0), targets).count() == 0 and mixing.mixture(corpus(spark), targets.limit(0)).count() == 0
     assert [r["actual_share"] for r in mixing.shares(corpus(spark).limit(0), targets).collect()] == [0.0]
+
+
+@pytest.fixture
+def no_vocabulary(monkeypatch):
+    monkeypatch.delenv("QUILLSTONE_TOKENIZER", raising=False)
+    monkeypatch.setattr(tokens, "VOCABULARY", "absent.tiktoken")
+    return monkeypatch
+
+
+def test_no_mixture_without_a_vocabulary(spark, no_vocabulary):
+    targets = spark.createDataFrame([("big", 0.5, 1), ("small", 0.5, 4)], TARGETS)
+    documents = corpus(spark)
+    for query in (mixing.mixture, mixing.shares):
+        with pytest.raises(FileNotFoundError, match="absent.tiktoken"):
+            query(documents, targets)
+    no_vocabulary.setenv("QUILLSTONE_TOKENIZER", tokens.CHARACTERS)  # asked for by name
+    asked = mixing.mixture(documents, targets).join(documents.select("doc_id", "text"), "doc_id").collect()
+    assert asked and all(r["n_tokens"] == max(1, len(r["text"]) // 4) for r in asked)
