@@ -349,3 +349,12 @@ def test_no_mixture_without_a_vocabulary(spark, no_vocabulary):
     no_vocabulary.setenv("QUILLSTONE_TOKENIZER", tokens.CHARACTERS)  # asked for by name
     asked = mixing.mixture(documents, targets).join(documents.select("doc_id", "text"), "doc_id").collect()
     assert asked and all(r["n_tokens"] == max(1, len(r["text"]) // 4) for r in asked)
+
+
+def test_no_pieces_without_a_vocabulary(spark, no_vocabulary):
+    texts = [(" ".join(prose(3, 300)), "SPC"), ("short.", "SPC")]
+    with pytest.raises(FileNotFoundError, match="absent.tiktoken"):
+        pieces(spark, texts)
+    no_vocabulary.setenv("QUILLSTONE_TOKENIZER", tokens.CHARACTERS)  # asked for by name
+    got = pieces(spark, texts)
+    assert set(got) == {0} and all(r["n_tokens"] == len(r["piece"]) // 4 <= 50 for r in got[0])
