@@ -115,6 +115,64 @@ def json_units(df: DataFrame, id_column: str, json_column: str, target: int = TA
     return map_rows(df.select(F.col(id_column).cast("string"), json_column), UNITS, rows)
 
 
+# A string (left as it is), a comma before a closing bracket, and the names of what is no finite number.
+_LOOSE = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"?|(?<=[\]}"\w])[ \t\n\r]*,(?=[ \t\n\r]*[\]}])|-?\b(?:nan|inf(?:inity)?)\b', re.I | re.S)
+
+
+def _strict(found: re.Match) -> str:
+    t = found[0]
+    return t if t[0] == '"' else "" if t[-1] == "," else "NaN" if t[-1] in "nN" else "-Infinity" if t[0] == "-" else "Infinity"
+
+
+def _whole(digits: str) -> int | float:
+    return int(digits) if len(digits) < 4_000 else float(digits)  # int() refuses more
+
+
+def standard(text: str | None) -> str | None:
+    """A record's JSON such as every parser reads alike, or None for what SQL's json_valid does not take.
+
+    As there, a comma may stand before a closing bracket and nan and inf are numbers in any case; nothing may follow the
+    value, and half a surrogate pair is no text. Of equal keys the first counts; what is no object is an empty one.
+    """
+    again = False
+
+    def first(pairs: list) -> dict:
+        nonlocal again
+        out = dict(pairs)
+        if len(out) < len(pairs):
+            again = True
+            out = dict(reversed(pairs))
+        return out
+
+    def read(t: str):
+        return json.loads(t, object_pairs_hook=first, parse_int=_whole)
+
+    if not text:
+        return None
+    try:
+        try:
+            root = read(text)
+        except ValueError:
+            text = _LOOSE.sub(_strict, text)
+            root = read(text)
+        if "\\u" in text:
+            json.dumps(json.loads(text, object_pairs_hook=list, parse_int=_whole), ensure_ascii=False).encode()
+    except (ValueError, RecursionError):
+        return None
+    return "{}" if not isinstance(root, dict) else json.dumps(root, ensure_ascii=False) if again else text
+
+
+def standard_records(df: DataFrame, key: str, json_column: str) -> DataFrame:
+    """(key, json_column) of the rows with valid JSON, as standard gives it; null, empty and broken ones are left out."""
+
+    def rows(source):
+        for k, text in source:
+            if (t := standard(text)) is not None:
+                yield k, t
+
+    return map_rows(df.select(key, json_column), T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField(json_column, T.StringType())]), rows)
+
+
 def sanitize(reply: Column) -> Column:
     """A model's reply without control characters, code fences and the prose around its object."""
     t = strip(F.regexp_replace(strip(F.coalesce(reply, F.lit(""))), r"[\x00-\x08\x0B\x0C\x0E-\x1F]", ""))

@@ -289,8 +289,13 @@ SELECT id, {_STRIP.format("j->>'$.trade_name'")} AS brand_name, {_STRIP.format("
   CASE j->>'$.drug_type' WHEN 'NCE' THEN 'New Chemical Entity' ELSE j->>'$.drug_type' END AS product_type, CASE WHEN lower({_STRIP.format("j->>'$.authorization_status'")}) = 'valid' THEN 'Active' END AS status,
   CASE j->>'$.drug_type' WHEN 'Generic' THEN 'true' WHEN 'NCE' THEN 'false' END AS is_generic, 'en' AS source_language, CAST(NULL AS VARCHAR) AS approval_date FROM r""")
 def sa_columns(t: Catalog) -> DataFrame:
-    done = sa.extract(t.table("products").where("regulator = 'SFDA'").select("id", "json_data"))
-    return done.select("id", *[F.col(f"columns.{c}").alias(c) for c in ("brand_name", "registration_number", "product_type", "status", "source_language")], F.col("columns.is_generic").cast("string").alias("is_generic"), F.col("columns.approval_date").cast("string").alias("approval_date"))
+    # records without valid JSON have no row, and names and numbers stay as written but for outer blanks (mapper_sa_columns has them cleaned)
+    records = jsonx.standard_records(t.table("products").where("regulator = 'SFDA'"), "id", "json_data")
+    done = sa.extract(records.withColumn("_raw", F.from_json("json_data", "trade_name string, registration_number string")))
+    return done.select(
+        "id", text.strip(F.col("_raw.trade_name")).alias("brand_name"), text.strip(F.col("_raw.registration_number")).alias("registration_number"),
+        *[F.col(f"columns.{c}").alias(c) for c in ("product_type", "status", "source_language")], F.col("columns.is_generic").cast("string").alias("is_generic"), F.col("columns.approval_date").cast("string").alias("approval_date"),
+    )
 
 
 @query()

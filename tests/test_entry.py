@@ -44,3 +44,21 @@ def test_core_does_not_import_the_optional_subpackage():
     for f in (ROOT / "quillstone").rglob("*.py"):
         if "llm" not in f.relative_to(ROOT).parts:
             assert "quillstone.llm" not in f.read_text(), f
+
+
+ODD_RECORDS = [
+    None, "", " ", "{}", "[]", "5", "null", "tru", '[{"trade_name": "in a list"}]', '{"trade_name": "cut off', '{"trade_name": "behind"} x', '{"trade_name": "two"}{"b": 1}', "{'trade_name': 1}",
+    '{"trade_name": "Alpha", "drug_type": "NCE", "authorization_status": " VALID ", "registration_number": " 1-2 "}', '{"trade_name": "  A   B ;", "drug_type": "Generic"}', '{"trade_name": "", "registration_number": null}',
+    '{"trade_name": "one", "trade_name": "other", "drug_type": "Biological"}', '{"trade_name": "comma", "manufacturers": [1, 2, ], }', '{"trade_name": "nan", "size": nan, "package_size": -INF}', '{"trade_name": "text, ]", "size": "ten",}',
+    '{"trade_name": "half \\ud800"}', '{"trade_name": "whole \\ud83d\\ude42"}', '{"trade_name": "a\nb"}', '{"trade_name": "lines\\n\\n"}', '{"trade_name": {"en": "x"}, "drug_type": "Other"}', '{"trade_name": "**note** C", "manufacturers": "none"}', "[,]",
+    '{"trade_name": "' + "long " * 50_000 + '"}', '{"trade_name": "digits", "size": ' + "9" * 900 + "}", '{"trade_name": 12, "authorization_status": true}',
+]
+
+
+def test_sa_columns_of_odd_records_equal_sql(spark, tmp_path):
+    spark.createDataFrame([(f"{i:02}", "SFDA", x) for i, x in enumerate(ODD_RECORDS)] + [("tga", "TGA", "{}")], "id string, regulator string, json_data string").coalesce(1).write.parquet(f"{tmp_path}/products.parquet")
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW products AS SELECT * FROM '{tmp_path}/products.parquet/*.parquet'")
+    got, want = registry.queries()["sa_columns"](spark, str(tmp_path)).toPandas(), db.sql(registry.oracle_sql()["sa_columns"]).df()
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns and rows(got, columns) == rows(want, columns)
